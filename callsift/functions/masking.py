@@ -38,9 +38,9 @@ def mask_pii(text: Column, strict: bool = False) -> Column:
     cheap = [rule for i, rule in enumerate(rules) if i not in (_EMAIL, _ADDRESS)]
     needs_all = F.contains(text, F.lit("@")) | text.rlike(r"(?U)\d{5}\s")
     return (
-        F.when(needs_all, apply_rules(text, rules))
-        .when(text.rlike(r"(?U)\d"), apply_rules(text, cheap))
-        .otherwise(text)
+        F.when(~text.rlike(r"(?U)[\d@]"), text)
+        .when(needs_all, apply_rules(text, rules))
+        .otherwise(apply_rules(text, cheap))
     )
 
 

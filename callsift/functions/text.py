@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, types as T
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
@@ -88,7 +88,8 @@ def repair_unicode(text: Column, pairs: list[tuple[str, str]] | None = None) ->
     """Undo doubly read UTF-8. Texts without a lead character skip the whole chain."""
     pairs = broken_pairs() if pairs is None else pairs
     leads = sorted({broken[0] for broken, _ in pairs})
-    fixed = reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
+    known = F.array(*[F.struct(F.lit(broken).alias("broken"), F.lit(clean).alias("clean")) for broken, clean in pairs])
+    fixed = F.aggregate(known, text, lambda t, pair: F.replace(t, pair["broken"], pair["clean"]))
     return F.when(reduce(or_, [F.contains(text, F.lit(lead)) for lead in leads]), fixed).otherwise(text)
 
 
