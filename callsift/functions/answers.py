@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
+from callsift.functions.jsontext import has_key, is_json, json_at
+from callsift.functions.once import let
 from callsift.functions.text import strip
 
 # --- gold mappers ---------------------------------------------------------------------------
@@ -49,42 +51,41 @@ def _first_label(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?U)\b(fraud|legitimate)\b", 1), F.lit(""))
 
 
-def _only(text: Column, legit_mark: str, fraud_mark: str, fallback: Column) -> Column:
+def _only(answer: Column, legit_mark: str, fraud_mark: str, fallback: Column) -> Column:
     """A label named alone wins; else the first whole-word label; else the fallback."""
+    text = _tidy(answer)
     fraud, legit = _has(text, "fraud"), _has(text, "legitimate")
     return (
         F.when(_has(text, legit_mark) & ~fraud, "legitimate")
         .when(_has(text, fraud_mark) & ~legit, "fraud")
-        .otherwise(F.coalesce(_first_label(text), fallback))
+        .when(answer.isNotNull(), F.coalesce(_first_label(text), fallback))
     )
 
 
-def _answered(answer: Column, label: Column) -> Column:
-    return F.when(answer.isNotNull(), label)
-
-
 def parse_contains_raw(answer: Column) -> Column:
-    text = _tidy(answer)
-    return _answered(answer, _only(text, "legitimate", "fraud", text))
+    return _only(answer, "legitimate", "fraud", _tidy(answer))
 
 
 def parse_contains(answer: Column) -> Column:
-    return _answered(answer, _only(_tidy(answer), "legitimate", "fraud", F.lit("unknown")))
+    return _only(answer, "legitimate", "fraud", F.lit("unknown"))
 
 
 def parse_result_tag(answer: Column) -> Column:
-    return _answered(answer, _only(_tidy(answer), "result: legitimate", "result: fraud", F.lit("unknown")))
+    return _only(answer, "result: legitimate", "result: fraud", F.lit("unknown"))
 
 
 def parse_fraud_first(answer: Column) -> Column:
     text = _tidy(answer)
-    label = F.when(_has(text, "fraud"), "fraud").when(_has(text, "legitimate"), "legitimate").otherwise("unparsed")
-    return _answered(answer, label)
+    return (
+        F.when(_has(text, "fraud"), "fraud")
+        .when(_has(text, "legitimate"), "legitimate")
+        .when(answer.isNotNull(), "unparsed")
+    )
 
 
 def parse_binary(answer: Column) -> Column:
     text = _tidy(F.substring_index(answer, V.RESPONSE_HEAD, -1))
-    return _answered(answer, F.when(_has(text, "fraud"), "fraud").otherwise("legitimate"))
+    return F.when(_has(text, "fraud"), "fraud").when(answer.isNotNull(), "legitimate")
 
 
 def parse_with_confidence(answer: Column, legit_word: str = "legit") -> Column:
@@ -96,39 +97,37 @@ def parse_with_confidence(answer: Column, legit_word: str = "legit") -> Column:
 
 
 def parse_judge(answer: Column) -> Column:
-    return _answered(answer, F.when(_has(F.lower(answer), "score: pass"), "PASS").otherwise("FAIL"))
+    return F.when(_has(F.lower(answer), "score: pass"), "PASS").when(answer.isNotNull(), "FAIL")
 
 
 # --- raw responses ------------------------------------------------------------------------------
 
 
-def _text_at(raw: Column, path: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(raw), path, "string")
-
-
 def unwrap_chat(raw: Column) -> Column:
     """Stripped text of a chat response, null when the response has none."""
-    return strip(_text_at(raw, "$.choices[0].message.content"))
+    return strip(json_at(raw, ".choices[0].message.content", "string"))
 
 
 def unwrap_completion(raw: Column) -> Column:
-    return strip(_text_at(raw, "$.choices[0].text"))
+    return strip(json_at(raw, ".choices[0].text", "string"))
 
 
 def unwrap_guarded(raw: Column) -> Column:
     """The `content` of a JSON object, else the whole value."""
-    return F.coalesce(_text_at(raw, "$.content"), raw)
+    return F.coalesce(json_at(raw, ".content", "string"), raw)
 
 
 def strip_fence(text: Column, multiline: bool = True) -> Column:
     """Drop Markdown code fences at line starts and ends, or only at the ends of the whole text."""
     flags = "(?mdU)" if multiline else "(?dU)"
-    return F.regexp_replace(text, flags + r"^```(?:json)?\s*|\s*```$", "")
+    bare = F.regexp_replace(text, flags + r"^```(?:json)?\s*|\s*```$", "")
+    return F.when(_has(text, "```"), bare).otherwise(text)
 
 
 def double_bad_backslashes(text: Column) -> Column:
     """Double every backslash that does not start a JSON escape."""
-    return F.regexp_replace(text, r'\\(?!["\\/bfnrt]|u[0-9a-fA-F]{4})', r"\\\\")
+    doubled = F.regexp_replace(text, r'\\(?!["\\/bfnrt]|u[0-9a-fA-F]{4})', r"\\\\")
+    return F.when(_has(text, "\\"), doubled).otherwise(text)
 
 
 def clean_answer(raw: Column, missing_is_raw: bool = True) -> Column:
@@ -137,28 +136,35 @@ def clean_answer(raw: Column, missing_is_raw: bool = True) -> Column:
     Not JSON: the cleaned text with backslashes turned into slashes. A JSON object without `text`: the raw answer, or
     '' for `missing_is_raw=False`. JSON whose text is no string, or that is no object: null, a failed attempt.
     """
-    clean = strip(strip_fence(raw))
-    fixed = double_bad_backslashes(clean)
-    parsed = F.try_parse_json(fixed)
-    keys = F.json_object_keys(fixed)
-    found = F.try_variant_get(parsed, "$.text", "variant")
-    text = F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(parsed, "$.text", "string"))
     missing = raw if missing_is_raw else F.lit("")
+
+    def text_of(clean: Column, fixed: Column) -> Column:
+        return (
+            F.when(~is_json(fixed), F.replace(clean, F.lit("\\"), F.lit("/")))
+            .when(F.json_object_keys(fixed).isNull(), None)
+            .when(~has_key(fixed, "text"), missing)
+            .otherwise(let(json_at(fixed, ".text", "variant"), _string))
+        )
+
+    return let(strip(strip_fence(raw)), lambda clean: let(double_bad_backslashes(clean), lambda f: text_of(clean, f)))
+
+
+def _string(value: Column) -> Column:
+    """A variant's text, null unless it is a string."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _whole_number(value: Column) -> Column:
+    """A variant as a whole number: digit strings are read, numbers truncated, booleans are 0 or 1, else null."""
+    kind, words = F.schema_of_variant(value), strip(F.try_variant_get(value, "$", "string"))
     return (
-        F.when(raw.isNull(), None)
-        .when(parsed.isNull(), F.replace(clean, F.lit("\\"), F.lit("/")))
-        .when(keys.isNull(), None)
-        .when(F.array_contains(keys, "text"), text)
-        .otherwise(missing)
+        F.when(kind == "STRING", F.when(words.rlike(r"^[+-]?\d+$"), words.try_cast("int")))
+        .when(kind == "BOOLEAN", (words == "true").cast("int"))
+        .otherwise(F.try_variant_get(value, "$", "double").try_cast("int"))
     )
 
 
 def judge_score(raw: Column) -> Column:
-    """Whole number at `score` in a JSON object (numbers are truncated, digit strings read); any failure gives 0."""
-    parsed = F.try_parse_json(strip_fence(strip(raw), multiline=False))
-    kind = F.schema_of_variant(F.try_variant_get(parsed, "$.score", "variant"))
-    words = strip(F.try_variant_get(parsed, "$.score", "string"))
-    number = F.when(kind == "STRING", F.when(words.rlike(r"^[+-]?\d+$"), words.try_cast("int"))).otherwise(
-        F.try_variant_get(parsed, "$.score", "double").try_cast("int")
-    )
-    return F.coalesce(F.when(kind == "BOOLEAN", (words == "true").cast("int")).otherwise(number), F.lit(0))
+    """Whole number at `score` in a JSON object; any failure gives 0."""
+    text = strip_fence(strip(raw), multiline=False)
+    return F.coalesce(let(json_at(text, ".score", "variant"), _whole_number), F.lit(0))

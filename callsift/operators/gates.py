@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
+from callsift.functions.jsontext import has_key
 from callsift.functions.text import score_length
 
 
 def schema_gate(lines: DataFrame, key: str = "text") -> DataFrame:
     """JSON lines (column `value`): rows, rows without the key, and whether none lacks it. A null value has the key."""
-    has = F.coalesce(F.array_contains(F.json_object_keys("value"), key), F.lit(False))
-    counts = lines.agg(F.count("*").alias("total"), F.count_if(~has).alias("missing"))
+    counts = lines.agg(F.count("*").alias("total"), F.count_if(~has_key(F.col("value"), key)).alias("missing"))
     return counts.withColumn("passed", (F.col("total") > 0) & (F.col("missing") == 0))
 
 

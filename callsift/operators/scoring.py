@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+from callsift.functions.once import let, pin
 from callsift.functions.text import is_blank
 from callsift.operators.skew import first_per_key
 
@@ -94,11 +95,11 @@ def first_accepted_attempt(df: DataFrame, row_id: str = "id", least: int = 4, at
 
 
 def apply_modifiers(df: DataFrame, column: str, *stages: Callable[[Column], Column]) -> DataFrame:
-    """Run text stages (Column to Column) one after the other over a column."""
+    """Run text stages (Column to Column) one after the other over a column; each stage runs once per row."""
     changed = F.col(column)
     for stage in stages:
-        changed = stage(changed)
-    return df.withColumn(column, changed)
+        changed = let(changed, stage)
+    return pin(df, column, changed)
 
 
 def apply_filter(
@@ -106,6 +107,6 @@ def apply_filter(
     score_column: str | None = None,
 ) -> DataFrame:
     """Keep rows whose score passes; the score stays as a column when it is given a name."""
-    name = score_column or "_score"
-    kept = df.withColumn(name, score(F.col(column))).where(keep(F.col(name)))
-    return kept if score_column else kept.drop(name)
+    if score_column:
+        return df.withColumn(score_column, score(F.col(column))).where(keep(F.col(score_column)))
+    return df.where(keep(score(F.col(column))))

@@ -23,6 +23,15 @@ def local_session(app: str = "callsift", cores: str = "*", shuffle_partitions: i
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for per-row work when the input has fewer splits than cores, such as one file with one row group.
+
+    An input with more splits than cores, that is any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local session without one gets a folder of its own."""
     context = spark.sparkContext

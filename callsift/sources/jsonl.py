@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from callsift.functions.jsontext import has_key, is_json
 from callsift.functions.text import strip
 
 DOCUMENT = "call_id STRING, id STRING, text STRING, is_clean BOOLEAN, noise_type STRING"
@@ -23,10 +24,6 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("value <> ''")
 
 
-def is_json(value: Column) -> Column:
-    return F.try_parse_json(value).isNotNull()
-
-
 def _parsed(lines: DataFrame, schema: str, keep: list[str] | None = None) -> DataFrame:
     return lines.select(F.from_json("value", schema).alias("_row"), *(keep or [])).select("_row.*", *(keep or []))
 
@@ -47,9 +44,8 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: str = RAW_CALL) -
 def validate_jsonl(lines: DataFrame, key: str = "text") -> DataFrame:
     """One row: lines, lines that are no JSON, JSON lines without the key (a null value has the key)."""
     good = is_json(F.col("value"))
-    has = F.coalesce(F.array_contains(F.json_object_keys("value"), key), F.lit(False))
     return lines.agg(
-        F.count("*").alias("total"), F.count_if(~good).alias("bad_json"), F.count_if(good & ~has).alias("missing_key")
+        F.count("*").alias("total"), F.count_if(~good).alias("bad_json"), F.count_if(good & ~has_key(F.col("value"), key)).alias("missing_key")
     )
 
 

@@ -155,7 +155,7 @@ def judge_flow(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def infer(spark: SparkSession, folder: str) -> DataFrame:
-    rows = fr.table(spark, folder, "documents").select("doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("text"))
+    rows = fr.documents(spark, folder).select("doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("text"))
     found = ev.infer(rows, _word_model)
     return found.select("doc_id", "label", "confidence", "prompt_length", "error")
 
@@ -170,7 +170,7 @@ def generate_flow(spark: SparkSession, folder: str) -> DataFrame:
 
 def _call_lines(spark: SparkSession, folder: str) -> str:
     """Documents as JSON lines: French ones cut off (bad JSON), German ones followed by a blank line."""
-    rows = fr.table(spark, folder, "documents")
+    rows = fr.documents(spark, folder)
     line = F.to_json(F.struct(F.format_string("doc-%05d", "doc_id").alias("call_id"), "text"))
     value = (
         F.when(F.col("lang") == "fr", F.expr("substr(line, 1, length(line) - 1)"))

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws, masking, text as tx
+from callsift.functions.once import pin
 from callsift.operators import dedup, gates, ids, noise, scoring
 from callsift.plans.curate import curate
 from callsift.workload import frames as fr
 
-docs = lambda spark, folder: fr.table(spark, folder, "documents")
+docs = fr.documents
 
 
 def curate_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,10 +69,9 @@ _LATIN = [(clean, broken) for broken, clean in tx.broken_pairs() if broken == cl
 
 
 def repair_unicode(spark: SparkSession, folder: str) -> DataFrame:
-    broken = F.col("text")
-    for clean, wrong in _LATIN:
-        broken = F.replace(broken, F.lit(clean), F.lit(wrong))
-    rows = docs(spark, folder).select("doc_id", broken.alias("broken"))
+    letters = F.array(*[F.struct(F.lit(clean).alias("clean"), F.lit(wrong).alias("wrong")) for clean, wrong in _LATIN])
+    broken = F.aggregate(letters, F.col("text"), lambda t, pair: F.replace(t, pair["clean"], pair["wrong"]))
+    rows = pin(docs(spark, folder).select("doc_id", "text"), "broken", broken)
     return rows.select("doc_id", F.length("broken").alias("broken_length"), tx.repair_unicode(F.col("broken")).alias("text"))
 
 
@@ -178,11 +178,11 @@ def curation_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def add_id(spark: SparkSession, folder: str) -> DataFrame:
-    return ids.add_id(docs(spark, folder).select("doc_id"), ["doc_id"])
+    return ids.add_id(fr.table(spark, folder, "documents").select("doc_id"), ["doc_id"])
 
 
 def add_id_by_position(spark: SparkSession, folder: str) -> DataFrame:
-    return ids.add_id(docs(spark, folder).select("doc_id")).select("id")
+    return ids.add_id(fr.table(spark, folder, "documents").select("doc_id")).select("id")
 
 
 def position_fallback_id(spark: SparkSession, folder: str) -> DataFrame:

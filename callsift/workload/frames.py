@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws
+from callsift.functions.answers import parse_contains
 from callsift.functions.text import WHITESPACE
+from callsift.operators.noise import inject_noise
+from callsift.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents over all cores, also when the file has one row group."""
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 # --- SQL helpers --------------------------------------------------------------------------------
 
 
@@ -72,7 +80,7 @@ def choose(values: list, index: Column) -> Column:
 
 def calls(spark: SparkSession, folder: str) -> DataFrame:
     """(call_id, text)"""
-    return table(spark, folder, "documents").select(F.format_string("doc-%05d", "doc_id").alias("call_id"), "text")
+    return documents(spark, folder).select(F.format_string("doc-%05d", "doc_id").alias("call_id"), "text")
 
 
 CALLS = "calls AS (SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents)"
@@ -106,7 +114,7 @@ PAIRS = (
 
 def answers(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, input, label, output, answer): ten kinds of model answers, one of them a failed call (null)."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs = documents(spark, folder).select("doc_id", "text", "lang", "n_chars")
     toxic = table(spark, folder, "labels").select("doc_id", "toxic")
     label = F.when(F.col("toxic") == 1, "fraud").otherwise("legitimate")
     german = F.when(F.col("toxic") == 1, "Betrug").otherwise("Kein Betrug")
@@ -161,8 +169,6 @@ PARSE_CONTAINS = f"CASE WHEN answer IS NOT NULL THEN {only_sql(TIDY, 'legitimate
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, gold, pred): labels against the labels parsed from the answers."""
-    from callsift.functions.answers import parse_contains
-
     return answers(spark, folder).select(
         "doc_id", F.col("label").alias("gold"), parse_contains(F.col("answer")).alias("pred")
     )
@@ -194,7 +200,7 @@ def noisy_sql() -> str:
 
 def samples(spark: SparkSession, folder: str) -> DataFrame:
     """(id, label, attempt, raw, verdict): three generated answers per document in different shapes, with verdicts."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    docs = documents(spark, folder).select("doc_id", "text", "n_chars")
     tries = docs.withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     kind = (F.col("n_chars") + F.col("attempt")) % 5
     body = F.to_json(F.struct("text"))
@@ -224,12 +230,4 @@ SAMPLES = """samples AS (
 
 
 def noisy(spark: SparkSession, folder: str) -> DataFrame:
-    from callsift.operators.noise import inject_noise
-
     return inject_noise(calls(spark, folder))
-
-
-def split_key(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, input, output, u): pairs with their draw."""
-    frame = pairs(spark, folder)
-    return frame.withColumn("u", draws.uniform(draws.digest(V.SPLIT_SEED, F.col("id"))))

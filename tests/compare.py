@@ -13,6 +13,9 @@ TABLES = (
 ).split()
 
 
+TIMES = {}
+
+
 def connect(folder):
     con = duckdb.connect()
     for name in TABLES:
@@ -27,8 +30,10 @@ def sorted_rows(names, rows):
 
 def difference(spark, con, query, sql, folder):
     """None when both give the same rows, else a short description."""
+    TIMES["start"] = time.perf_counter()
     frame = query(spark, folder)
     rows = [tuple(r) for r in frame.collect()]
+    TIMES["spark"] = time.perf_counter() - TIMES["start"]
     if sql is None:
         return None if rows else "no rows"
     found = con.execute(sql)
@@ -55,12 +60,12 @@ def main(folder, wanted):
     for name, query in workload.QUERIES.items():
         if wanted and name not in wanted:
             continue
-        start = time.perf_counter()
+        TIMES.update(start=time.perf_counter(), spark=0.0)
         try:
             problem = difference(spark, con, query, workload.SQL.get(name), folder)
         except Exception as error:  # a failing query is one line of the report
             problem = f"{type(error).__name__}: {str(error)[:700]}"
-        took = time.perf_counter() - start
+        took = TIMES["spark"]
         note = "" if name in workload.SQL else " (no SQL)"
         print(f"{'ok ' if problem is None else 'BAD'} {name} {took:.2f}s{note}{'' if problem is None else ' ' + problem}", flush=True)
         bad += problem is not None
