@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,26 +27,45 @@ def apply_rules(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
     return reduce(lambda t, rule: F.regexp_replace(t, rule[0], rule[1]), rules, text)
 
 
-def mask_pii(text: Column, strict: bool = False) -> Column:
-    """Apply the rules in order; null stays null.
+# Conditions that a match needs. They gate the work, because most texts cannot match anything. A replacement adds
+# neither digits, spaces nor '@', so what the original text lacks no later rule can find: all rules but the e-mail one
+# need a digit, that one needs '@', and the address rule, the only one that has to try every word, needs a five-digit
+# postal code followed by white space.
+
+
+def _may_match(text: Column) -> Column:
+    return text.rlike(r"(?U)[\d@]")
+
+
+def _may_hold_email(text: Column) -> Column:
+    return F.contains(text, F.lit("@"))
+
 
-    Most texts cannot match anything, so the work is gated by conditions that every match needs. A replacement adds
-    neither digits, spaces nor '@', so what the original text lacks no later rule can find:
-    all rules but the e-mail one need a digit, that one needs '@', and the address rule, the only one that has to try
-    every word, needs a five-digit postal code followed by white space.
-    """
+def _may_hold_address(text: Column) -> Column:
+    return text.rlike(r"(?U)\d{5}\s")
+
+
+def _cheap(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    return [rule for i, rule in enumerate(rules) if i not in (_EMAIL, _ADDRESS)]
+
+
+def mask_pii(text: Column, strict: bool = False) -> Column:
+    """Apply the rules in order; null stays null."""
     rules = mask_rules(strict)
-    cheap = [rule for i, rule in enumerate(rules) if i not in (_EMAIL, _ADDRESS)]
-    needs_all = F.contains(text, F.lit("@")) | text.rlike(r"(?U)\d{5}\s")
     return (
-        F.when(~text.rlike(r"(?U)[\d@]"), text)
-        .when(needs_all, apply_rules(text, rules))
-        .otherwise(apply_rules(text, cheap))
+        F.when(~_may_match(text), text)
+        .when(_may_hold_email(text) | _may_hold_address(text), apply_rules(text, rules))
+        .otherwise(apply_rules(text, _cheap(rules)))
     )
 
 
 def is_pii_present(text: Column, strict: bool = False) -> Column:
-    return mask_pii(text, strict) != text
+    """Whether masking would change the text, that is whether any rule matches it as it stands."""
+    rules = mask_rules(strict)
+    simple = reduce(or_, [text.rlike(pattern) for pattern, _ in _cheap(rules)])
+    email = _may_hold_email(text) & text.rlike(rules[_EMAIL][0])
+    address = _may_hold_address(text) & text.rlike(rules[_ADDRESS][0])
+    return _may_match(text) & (simple | email | address)
 
 
 def compliance_check(text: Column) -> Column:

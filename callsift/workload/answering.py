@@ -433,6 +433,9 @@ SQL = {
     "generate_flow": f"WITH planned AS ({_plan_sql()}) SELECT id, prompt AS text, label, s::INTEGER AS score, 0 AS attempt "
     f"FROM (SELECT *, (length(prompt) + {_QUALITY_LENGTH}) % 6 AS s FROM planned) WHERE s >= 4",
     "read_jsonl_lenient": f"SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents WHERE lang <> 'fr'",
+    "read_jsonl_lenient_bad": "SELECT (length(line) - 1)::INTEGER AS length, substr(line, 1, 24) AS start FROM (SELECT lang, "
+    "'{\"call_id\":\"' || printf('doc-%05d', doc_id) || '\",\"text\":' || to_json(text)::VARCHAR || '}' AS line FROM documents) "
+    "WHERE lang = 'fr'",
     "validate_jsonl": "SELECT count(*) AS total, count_if(lang = 'fr') AS bad_json, 0::BIGINT AS missing_key FROM documents",
     "read_jsonl_strict": f"{_NOISY} SELECT call_id, text, (SELECT count(*) FROM noisy) AS records FROM noisy",
     "read_jsonl_plain": f"{_NOISY} SELECT * FROM noisy",

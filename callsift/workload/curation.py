@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws, masking, text as tx
-from callsift.functions.once import pin
+from callsift.functions.once import let, pin
 from callsift.operators import dedup, gates, ids, noise, scoring
 from callsift.plans.curate import curate
 from callsift.workload import frames as fr
@@ -30,7 +30,7 @@ def mask_pii(spark: SparkSession, folder: str) -> DataFrame:
 def mask_pii_samples(spark: SparkSession, folder: str) -> DataFrame:
     sample = fr.choose(V.PII_SAMPLES, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(V.PII_SAMPLES)))
     longer = F.concat("text", F.lit("\n"), sample)
-    return docs(spark, folder).select("doc_id", masking.mask_pii(longer).alias("text"))
+    return docs(spark, folder).select("doc_id", let(longer, masking.mask_pii).alias("text"))
 
 
 def is_pii_present(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +43,7 @@ _TALK = [*V.PROHIBITED_PHRASES, "Guten Tag", "Wie geht es", "SAG MIR DEIN PASSWO
 def compliance_check(spark: SparkSession, folder: str) -> DataFrame:
     said = fr.choose(_TALK, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(_TALK)))
     longer = F.concat("text", F.lit(" "), said)
-    return docs(spark, folder).select("doc_id", masking.compliance_check(longer).alias("decision"))
+    return docs(spark, folder).select("doc_id", let(longer, masking.compliance_check).alias("decision"))
 
 
 def score_length(spark: SparkSession, folder: str) -> DataFrame:
