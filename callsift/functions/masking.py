@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
@@ -10,9 +10,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
+from callsift.functions.once import let
 from callsift.functions.text import prohibited_test
 
-_EMAIL, _MOBILE, _ADDRESS = 2, 4, 5
+_MOBILE = 4
+
+# Per rule: a cheap test that every text with a match passes, and what the first character of a match looks like.
+# They only save work: most texts fail the test, and a look-ahead spares the word-boundary test at most positions.
+_TESTS: list[Callable[[Column], Column] | None] = [
+    lambda text: F.contains(text, F.lit("DE")),
+    None,
+    lambda text: F.contains(text, F.lit("@")),
+    None,
+    None,
+    lambda text: text.rlike(r"(?U)\d{5}\s"),
+    None,
+]
+_STARTS = [None, r"\d", None, r"\d", "[+0]", None, r"\d"]
+
+
+def _may_match(text: Column) -> Column:
+    """A match of any rule has an '@' or three digits with nothing but spaces and hyphens between them."""
+    return F.contains(text, F.lit("@")) | text.rlike(r"(?U)\d[ -]*\d[ -]*\d")
 
 
 def mask_rules(strict: bool = False) -> list[tuple[str, str]]:
@@ -24,48 +43,35 @@ def mask_rules(strict: bool = False) -> list[tuple[str, str]]:
 
 
 def apply_rules(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    """The rules one after the other, with nothing spared."""
     return reduce(lambda t, rule: F.regexp_replace(t, rule[0], rule[1]), rules, text)
 
 
-# Conditions that a match needs. They gate the work, because most texts cannot match anything. A replacement adds
-# neither digits, spaces nor '@', so what the original text lacks no later rule can find: all rules but the e-mail one
-# need a digit, that one needs '@', and the address rule, the only one that has to try every word, needs a five-digit
-# postal code followed by white space.
-
-
-def _may_match(text: Column) -> Column:
-    return text.rlike(r"(?U)[\d@]")
+def _spared(strict: bool) -> list[tuple[str, str, Callable[[Column], Column] | None]]:
+    """(pattern, replacement, test) with the look-ahead put behind the flags of the pattern."""
+    rows = []
+    for (pattern, mark), test, start in zip(mask_rules(strict), _TESTS, _STARTS):
+        flags, body = pattern.split(")", 1)
+        rows.append((f"{flags})(?={start}){body}" if start else pattern, mark, test))
+    return rows
 
 
-def _may_hold_email(text: Column) -> Column:
-    return F.contains(text, F.lit("@"))
-
-
-def _may_hold_address(text: Column) -> Column:
-    return text.rlike(r"(?U)\d{5}\s")
-
-
-def _cheap(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    return [rule for i, rule in enumerate(rules) if i not in (_EMAIL, _ADDRESS)]
+def mask_pii(text: Column, strict: bool = False) -> Column:
+    """Apply the rules in order, each to the result of the one before; null stays null."""
 
+    def step(masked: Column, rule: tuple) -> Column:
+        pattern, mark, test = rule
+        if test is None:
+            return F.regexp_replace(masked, pattern, mark)
+        return let(masked, lambda t: F.when(test(t), F.regexp_replace(t, pattern, mark)).otherwise(t))
 
-def mask_pii(text: Column, strict: bool = False) -> Column:
-    """Apply the rules in order; null stays null."""
-    rules = mask_rules(strict)
-    return (
-        F.when(~_may_match(text), text)
-        .when(_may_hold_email(text) | _may_hold_address(text), apply_rules(text, rules))
-        .otherwise(apply_rules(text, _cheap(rules)))
-    )
+    return let(text, lambda t: F.when(_may_match(t), reduce(step, _spared(strict), t)).otherwise(t))
 
 
 def is_pii_present(text: Column, strict: bool = False) -> Column:
     """Whether masking would change the text, that is whether any rule matches it as it stands."""
-    rules = mask_rules(strict)
-    simple = reduce(or_, [text.rlike(pattern) for pattern, _ in _cheap(rules)])
-    email = _may_hold_email(text) & text.rlike(rules[_EMAIL][0])
-    address = _may_hold_address(text) & text.rlike(rules[_ADDRESS][0])
-    return _may_match(text) & (simple | email | address)
+    found = [test(text) & text.rlike(pattern) if test else text.rlike(pattern) for pattern, _, test in _spared(strict)]
+    return tex_may_match(t) & reduce(or_, found)
 
 
 def compliance_check(text: Column) -> Column:

@@ -1,7 +1,8 @@
-"""Evaluate a costly expression once, however often it is used."""
+"""Evaluate costly expressions and constants once, however often they are used."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda known: use(known)), 1)
 
 
+def literal_array(values: list, element: str) -> Column:
+    """A constant array as one literal: Catalyst folds the parse away, and the plan is built with a single call."""
+    return F.from_json(F.lit(json.dumps(values, default=str)), f"array<{element}>")
+
+
+def choose(values: list, index: Column) -> Column:
+    """The value at an index that counts from 0."""
+    return F.element_at(literal_array(values, "string" if isinstance(values[0], str) else "int"), index + 1)
+
+
 def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add or replace a column so that later filters and projections read it and do not compute it again.
 
@@ -21,5 +32,5 @@ def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
     """
     others = [c for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array(value)).alias(name)).select(
-        *[c for c in df.columns], *([] if name in df.columns else [name])
+        *df.columns, *([] if name in df.columns else [name])
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws
+from callsift.functions.once import choose
 
 
 def prompt_instruction(text: Column) -> Column:
@@ -85,27 +86,23 @@ def label_by_parity(number: Column) -> Column:
     return F.when(number % 2 != 0, "fraud").otherwise("legitimate")
 
 
-def _choose(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
-
-
 def prompt_plan(number: Column, seed: int = V.SPLIT_SEED) -> dict[str, Column]:
     """Columns of the generation plan for a running number; every choice is a slice of one digest."""
     draw = draws.digest(seed, number)
-    name = _choose(V.CUSTOMER_NAMES, draws.pick(draw, 0, len(V.CUSTOMER_NAMES)))
-    tone = _choose(V.TONES, draws.pick(draw, 1, len(V.TONES)))
+    name = choose(V.CUSTOMER_NAMES, draws.pick(draw, 0, len(V.CUSTOMER_NAMES)))
+    tone = choose(V.TONES, draws.pick(draw, 1, len(V.TONES)))
     size = draws.pick(draw, 2, len(V.LENGTHS))
-    length = _choose([text for text, _ in V.LENGTHS], size)
+    length = choose([text for text, _ in V.LENGTHS], size)
     scene = draws.pick(draw, 3, len(V.FRAUD_SCENARIOS))
 
     def filled(template: str, scenarios: list[str]) -> Column:
-        return F.format_string(template, name, _choose(scenarios, scene), tone, length)
+        return F.format_string(template, name, choose(scenarios, scene), tone, length)
 
     label = label_by_parity(number)
     return {
         "id": F.format_string("doc-%05d", number.cast("bigint")),
         "label": label,
-        "max_tokens": _choose([cap for _, cap in V.LENGTHS], size),
+        "max_tokens": choose([cap for _, cap in V.LENGTHS], size),
         "prompt": F.when(label == "fraud", filled(V.FRAUD_PLAN, V.FRAUD_SCENARIOS)).otherwise(
             filled(V.LEGITIMATE_PLAN, V.LEGITIMATE_SCENARIOS)
         ),

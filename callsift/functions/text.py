@@ -9,10 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
+from callsift.functions.once import literal_array
 
 # Every code point that Python's str.strip() removes; Spark's trim() alone cuts plain spaces only.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
+_PAIR = "struct<broken: string, clean: string>"
 _TURNS = "transcript ARRAY<MAP<STRING, STRING>>"
 
 
@@ -88,7 +90,7 @@ def repair_unicode(text: Column, pairs: list[tuple[str, str]] | None = None) ->
     """Undo doubly read UTF-8. Texts without a lead character skip the whole chain."""
     pairs = broken_pairs() if pairs is None else pairs
     leads = sorted({broken[0] for broken, _ in pairs})
-    known = F.array(*[F.struct(F.lit(broken).alias("broken"), F.lit(clean).alias("clean")) for broken, clean in pairs])
+    known = literal_array([{"broken": broken, "clean": clean} for broken, clean in pairs], _PAIR)
     fixed = F.aggregate(known, text, lambda t, pair: F.replace(t, pair["broken"], pair["clean"]))
     return F.when(reduce(or_, [F.contains(text, F.lit(lead)) for lead in leads]), fixed).otherwise(text)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from itertools import accumulate
 from math import ceil
 
@@ -10,16 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
+from callsift.functions.once import literal_array
 from callsift.functions.text import padded_id
 
-ROWS_PER_BUCKET = 1_000_000
-KEYS_PER_BUCKET = 16
-MOST_BUCKETS = 8192
-
-
-def _literal_array(values: list, element: str) -> Column:
-    """A constant array from one literal; Catalyst folds the parse away."""
-    return F.from_json(F.lit(json.dumps(values, default=str)), f"array<{element}>")
+ROWS_PER_BUCKET = 100_000
+KEYS_PER_BUCKET = 8
+MOST_BUCKETS = 32_768
 
 
 def number_by_position(scan: DataFrame, out: str = "row_id", start: int = 0) -> DataFrame:
@@ -36,7 +31,7 @@ def number_by_position(scan: DataFrame, out: str = "row_id", start: int = 0) ->
     size = max(counts, default=-1) + 1
     offsets = [0, *accumulate(counts.get(p, 0) for p in range(size))]
     place = F.monotonically_increasing_id()
-    offset = F.element_at(_literal_array(offsets, "bigint"), F.shiftright(place, 33).cast("int") + 1)
+    offset = F.element_at(literal_array(offsets, "bigint"), F.shiftright(place, 33).cast("int") + 1)
     return scan.withColumn(out, offset + place.bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(start))
 
 
@@ -51,11 +46,11 @@ def _range_bucket(df: DataFrame, key: Column, buckets: int, rows: int) -> Column
     if not bounds:
         return F.lit(0)
     kind = keys.schema["k"].dataType.simpleString()
-    bound = _literal_array(bounds, kind)
+    bound = literal_array(bounds, kind)
     # Binary search: keep adding the largest step whose bound is not above the key.
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
-        _literal_array(steps, "int"),
+        literal_array(steps, "int"),
         F.lit(0),
         lambda at, jump: F.when(
             (at + jump <= len(bounds)) & (key >= F.try_element_at(bound, at + jump)), at + jump
@@ -80,7 +75,7 @@ def number_by_key(
     if buckets > 1:
         counts = {r["_range"]: r["n"] for r in placed.groupBy("_range").agg(F.count("*").alias("n")).collect()}
         sizes = [counts.get(b, 0) for b in range(max(counts) + 1)]
-        offset = F.element_at(_literal_array([0, *accumulate(sizes)], "bigint"), F.col("_range") + 1)
+        offset = F.element_at(literal_array([0, *accumulate(sizes)], "bigint"), F.col("_range") + 1)
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by))
     return placed.withColumn(out, place.cast("bigint") - 1 + offset + F.lit(start)).drop("_range")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws
+from callsift.functions.once import choose
 from callsift.functions.text import (
     break_umlauts, dup_marker_test, garbage_test, mojibake_test, pii_keyword_test,
 )
@@ -51,7 +52,7 @@ def inject_noise(df: DataFrame, seed: int = V.SPLIT_SEED, shares: dict[str, floa
     call, text, branch = F.col("call_id").cast("string"), F.col("text"), F.col("branch")
 
     def chosen(values: list[str]) -> Column:
-        return F.element_at(F.array(*map(F.lit, values)), draws.pick(F.col("_draw"), 1, len(values)) + 1)
+        return choose(values, draws.pick(F.col("_draw"), 1, len(values)))
 
     with_pii = F.concat(text, F.lit("\nAnrufer: "), chosen(V.PII_SAMPLES))
     rows = (

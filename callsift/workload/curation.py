@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws, masking, text as tx
-from callsift.functions.once import let, pin
+from callsift.functions.once import choose, let, literal_array, pin
 from callsift.operators import dedup, gates, ids, noise, scoring
 from callsift.plans.curate import curate
 from callsift.workload import frames as fr
@@ -28,7 +28,7 @@ def mask_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mask_pii_samples(spark: SparkSession, folder: str) -> DataFrame:
-    sample = fr.choose(V.PII_SAMPLES, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(V.PII_SAMPLES)))
+    sample = choose(V.PII_SAMPLES, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(V.PII_SAMPLES)))
     longer = F.concat("text", F.lit("\n"), sample)
     return docs(spark, folder).select("doc_id", let(longer, masking.mask_pii).alias("text"))
 
@@ -41,7 +41,7 @@ _TALK = [*V.PROHIBITED_PHRASES, "Guten Tag", "Wie geht es", "SAG MIR DEIN PASSWO
 
 
 def compliance_check(spark: SparkSession, folder: str) -> DataFrame:
-    said = fr.choose(_TALK, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(_TALK)))
+    said = choose(_TALK, draws.pick(draws.digest(42, F.col("doc_id")), 0, len(_TALK)))
     longer = F.concat("text", F.lit(" "), said)
     return docs(spark, folder).select("doc_id", let(longer, masking.compliance_check).alias("decision"))
 
@@ -69,7 +69,7 @@ _LATIN = [(clean, broken) for broken, clean in tx.broken_pairs() if broken == cl
 
 
 def repair_unicode(spark: SparkSession, folder: str) -> DataFrame:
-    letters = F.array(*[F.struct(F.lit(clean).alias("clean"), F.lit(wrong).alias("wrong")) for clean, wrong in _LATIN])
+    letters = literal_array([{"clean": clean, "wrong": wrong} for clean, wrong in _LATIN], "struct<clean: string, wrong: string>")
     broken = F.aggregate(letters, F.col("text"), lambda t, pair: F.replace(t, pair["clean"], pair["wrong"]))
     rows = pin(docs(spark, folder).select("doc_id", "text"), "broken", broken)
     return rows.select("doc_id", F.length("broken").alias("broken_length"), tx.repair_unicode(F.col("broken")).alias("text"))
