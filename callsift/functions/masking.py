@@ -71,7 +71,7 @@ def mask_pii(text: Column, strict: bool = False) -> Column:
 def is_pii_present(text: Column, strict: bool = False) -> Column:
     """Whether masking would change the text, that is whether any rule matches it as it stands."""
     found = [test(text) & text.rlike(pattern) if test else text.rlike(pattern) for pattern, _, test in _spared(strict)]
-    return tex_may_match(t) & reduce(or_, found)
+    return _may_match(text) & reduce(or_, found)
 
 
 def compliance_check(text: Column) -> Column:
