@@ -68,20 +68,19 @@ def _same_rows(keyed: DataFrame, value: str, shares: list[tuple[str, int]], chun
     return spread.withColumn("_one", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(*columns, "split")
 
 
-def seeded_split_exact(
-    df: DataFrame,
-    key: list[str],
-    seed: int = V.SPLIT_SEED,
-    train: float = V.TRAIN_SHARE,
-    validation: float = V.VALIDATION_SHARE,
+def with_order(df: DataFrame, key: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
+    """Add `_order`, the digest that shuffles the rows. `key` must tell different rows apart."""
+    return df.withColumn("_order", draws.digest(seed, *map(F.col, key)))
+
+
+def split_by_order(
+    keyed: DataFrame, train: float = V.TRAIN_SHARE, validation: float = V.VALIDATION_SHARE
 ) -> DataFrame:
-    """Add `split` with the exact sizes int(n*train), int(n*validation) and the rest, in md5(seed, key) order.
+    """Turn `_order` into `split` with the exact sizes int(n*train), int(n*validation) and the rest.
 
-    Two or three passes over the key columns find the digests at the cuts; labelling is then a narrow comparison, so
-    texts are never shuffled or sorted. `key` must tell different rows apart. Equal rows that straddle a cut are
-    divided by count.
+    Two or three passes over the digests find those at the cuts; labelling is then a narrow comparison, so texts are
+    never shuffled or sorted. Equal rows that straddle a cut are divided by count.
     """
-    keyed = df.withColumn("_order", draws.digest(seed, *map(F.col, key)))
     first = _counts(keyed, "", _DIGITS)
     rows = sum(n for _, n in first)
     positions = list(split_sizes_for(rows, train, validation))
@@ -102,6 +101,17 @@ def seeded_split_exact(
     return result
 
 
+def seeded_split_exact(
+    df: DataFrame,
+    key: list[str],
+    seed: int = V.SPLIT_SEED,
+    train: float = V.TRAIN_SHARE,
+    validation: float = V.VALIDATION_SHARE,
+) -> DataFrame:
+    """Add `split` in md5(seed, key) order. Settle with_order() first when the rows or their key are costly."""
+    return split_by_order(with_order(df, key, seed), train, validation)
+
+
 def slice_split(df: DataFrame, rank: str, ends: tuple[int, int]) -> DataFrame:
     """Contiguous ranges of a rank that counts from 0."""
     place = F.col(rank)

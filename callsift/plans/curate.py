@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions.masking import mask_pii
-from callsift.functions.text import long_enough, repair_unicode, score_length
+from callsift.functions.text import long_enough, padded_id, repair_unicode, score_length
 from callsift.operators.dedup import keep_first_duplicate
-from callsift.operators.ids import add_id
+from callsift.operators.ids import number_by_position
 from callsift.operators.scoring import apply_filter, apply_modifiers
+from callsift.session import spread
 from callsift.sources.jsonl import DOCUMENT, read_jsonl_strict, write_curated
 
 
@@ -30,6 +32,8 @@ def curate(docs: DataFrame, row_id: str = "id", text: str = "text", least: int =
 def run_curation(spark: SparkSession, source: str, target: str, schema: str = DOCUMENT) -> dict[str, float]:
     """Curate a JSON Lines data set into `target`; returns rows in, kept, removed and the removed share."""
     docs, rows_in = read_jsonl_strict(spark, source, schema)
-    write_curated(curate(add_id(docs.drop("id"))), target)
+    numbered = spread(number_by_position(docs.drop("id"), "_position"), "_position")
+    kept_rows = curate(numbered, "_position")
+    write_curated(kept_rows.select(padded_id(f"{V.ID_PREFIX}-", F.col("_position"), 10).alias("id"), "*").drop("_position"), target)
     kept = spark.read.text(target).count()
     return {"rows_in": rows_in, "kept": kept, "removed": rows_in - kept, "removed_share": (rows_in - kept) / rows_in}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callsift import fixed_values as V
 from callsift.operators.labels import attach_gold, gold_last_wins, match_stats, to_sft_pair
-from callsift.operators.splits import NAMES, seeded_split_exact, split_sizes
+from callsift.operators.splits import NAMES, split_by_order, split_sizes, with_order
 from callsift.session import settle
 from callsift.sources.jsonl import DOCUMENT, GOLD, read_jsonl_plain
 
@@ -14,10 +14,11 @@ from callsift.sources.jsonl import DOCUMENT, GOLD, read_jsonl_plain
 def prepare_pairs(docs: DataFrame, gold: DataFrame, gold_order: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
     """(input, output, split) of the documents that have a gold label.
 
-    The pairs are settled before the split, so the join runs once and the cuts are found on the written columns.
+    The pairs are settled with their digest, so the join and the hashing of texts run once and the passes that find
+    the cuts read one short column.
     """
-    matched = attach_gold(docs, gold_last_wins(gold, gold_order))
-    return seeded_split_exact(settle(to_sft_pair(matched), "pairs"), ["input", "output"], seed)
+    pairs = to_sft_pair(attach_gold(docs, gold_last_wins(gold, gold_order)))
+    return split_by_order(settle(with_order(pairs, ["input", "output"], seed), "pairs"))
 
 
 def run_prepare_pairs(

@@ -194,3 +194,18 @@ def test_stream_curation_equals_batch(spark, tmp_path):
     docs.repartition(3).write.parquet(folder)
     live.stream_curate_rows(live.arriving(spark, folder, "doc_id long, text string"), out, state).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, curate.clean_rows(docs).collect()))
+
+
+# --- command line ---------------------------------------------------------------------------
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    from callsift.__main__ import arguments, run
+
+    raw = write(tmp_path / "raw", [{"call_id": f"c{i}", "text": f"Anruf {i} " + "x" * 60} for i in range(40)])
+    gold = write(tmp_path / "gold", [{"id": f"c{i}", "label": "fraud" if i % 2 else "legitimate"} for i in range(40)])
+    noisy, curated, target = (str(tmp_path / n) for n in ("noisy", "curated", "sft"))
+    assert sum(run(spark, arguments(["noise", raw, noisy])).values()) == 40
+    kept = run(spark, arguments(["curate", noisy, curated]))["kept"]
+    counts = run(spark, arguments(["pairs", curated, gold, target, "--seed", "7"]))
+    assert counts["total"] == kept and counts["train"] + counts["validation"] + counts["test"] == counts["matched"]
