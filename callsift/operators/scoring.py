@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+from callsift import fixed_values as V
 from callsift.functions.once import let, pin
 from callsift.functions.text import is_blank
 from callsift.operators.skew import first_per_key
@@ -22,7 +23,7 @@ def drop_empty_input(df: DataFrame, text: str = "input") -> DataFrame:
 def reject_blank_input(df: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows to score, blank rows with an error): blank texts never reach the model."""
     blank = is_blank(F.col(text))
-    return df.where(~blank), df.where(blank).withColumn("error", F.lit("Eingabetext darf nicht leer sein."))
+    return df.where(~blank), df.where(blank).withColumn("error", F.lit(V.BLANK_INPUT_ERROR))
 
 
 def _answers(ask: Ask, prompts: list) -> tuple[list, list]:

@@ -24,13 +24,16 @@ def local_session(app: str = "callsift", cores: str = "*", shuffle_partitions: i
     )
 
 
+FEW_SPLITS = 64
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for per-row work when the input has fewer splits than cores, such as one file with one row group.
+    """Use all cores for per-row work when the input has few splits, such as one file with one row group.
 
-    An input with more splits than cores, that is any large one, is left as it is.
+    An input with more than FEW_SPLITS splits, or more splits than cores, is left as it is, so no large table is moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df if splits > min(cores, FEW_SPLITS) else df.repartition(cores, key)
 
 
 def shared_folder(spark: SparkSession) -> str:

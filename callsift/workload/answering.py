@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
-from callsift.functions import answers as an, prompts as pr, text as tx
+from callsift.functions import answers as an, draws, prompts as pr, text as tx
 from callsift.operators import metrics, scoring
 from callsift.plans import evaluate as ev, generate as gen
 from callsift.session import fresh_path, settle
@@ -83,6 +83,23 @@ def clean_answer_plain(spark: SparkSession, folder: str) -> DataFrame:
     return fr.samples(spark, folder).select("id", "attempt", an.clean_answer(F.col("raw"), False).alias("text"))
 
 
+def strip_fence(spark: SparkSession, folder: str) -> DataFrame:
+    """A fenced document followed by a second one that only has a closing fence."""
+    raw = F.concat(F.lit("```json\n"), "text", F.lit("\n```\n"), "text", F.lit("\n```"))
+    return fr.documents(spark, folder).select("doc_id", an.strip_fence(raw).alias("text"))
+
+
+def double_bad_backslashes(spark: SparkSession, folder: str) -> DataFrame:
+    """Words end with a bad escape, sentences with a good one."""
+    raw = F.replace(F.replace("text", F.lit(" "), F.lit("\\d ")), F.lit("."), F.lit("\\n"))
+    return fr.documents(spark, folder).select("doc_id", an.double_bad_backslashes(raw).alias("text"))
+
+
+def temperature(spark: SparkSession, folder: str) -> DataFrame:
+    draw = draws.digest(V.SPLIT_SEED, F.col("doc_id"), F.lit(0))
+    return fr.table(spark, folder, "documents").select("doc_id", draws.temperature(draw).alias("temperature"))
+
+
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
     return fr.samples(spark, folder).select("id", "attempt", an.judge_score(F.col("verdict")).alias("score"))
 
@@ -189,7 +206,7 @@ def read_jsonl_lenient(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_jsonl_lenient_bad(spark: SparkSession, folder: str) -> DataFrame:
     _, bad = jsonl.read_jsonl_lenient(spark, _call_lines(spark, folder))
-    return bad.select(F.length("value").alias("length"), F.substring("value", 1, 24).alias("start"))
+    return bad.select(F.length("value").alias("length"), F.md5("value").alias("digest"))
 
 
 def validate_jsonl(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,6 +335,9 @@ QUERIES = {
     "unwrap_guarded": _unwrapped(an.unwrap_guarded, "guarded"),
     "clean_answer": clean_answer,
     "clean_answer_plain": clean_answer_plain,
+    "strip_fence": strip_fence,
+    "double_bad_backslashes": double_bad_backslashes,
+    "temperature": temperature,
     "judge_score": _judged,
     "quality_gate": quality_gate,
     "first_accepted_attempt": first_accepted_attempt,
@@ -413,6 +433,10 @@ SQL = {
     "THEN answer ELSE 'plain: ' || answer END AS answer FROM answers",
     "clean_answer": f"{_SAMPLES} SELECT id, attempt, {_CLEAN_SQL.format(strip=fr.strip_sql('text'), missing='raw')} AS text FROM samples",
     "clean_answer_plain": f"{_SAMPLES} SELECT id, attempt, {_CLEAN_SQL.format(strip=fr.strip_sql('text'), missing=fr.lit(''))} AS text FROM samples",
+    "strip_fence": "SELECT doc_id, text || chr(10) || text AS text FROM documents",
+    "double_bad_backslashes": "SELECT doc_id, replace(replace(text, ' ', '\\\\d '), '.', '\\n') AS text FROM documents",
+    "temperature": f"SELECT doc_id, round(0.7::DOUBLE + {fr.uniform_sql('h')} * 0.25::DOUBLE, 2) AS temperature "
+    f"FROM (SELECT doc_id, {fr.digest_sql(chr(40) + 'doc_id || chr(58) || 0' + chr(41))} AS h FROM documents)",
     "judge_score": f"{_SAMPLES} SELECT id, attempt, score FROM samples",
     "quality_gate": f"{_SAMPLES} SELECT id, attempt, score FROM samples WHERE score >= 4",
     "first_accepted_attempt": f"{_SAMPLES} SELECT id, min(attempt) AS attempt, arg_min(score, attempt) AS score FROM samples "
@@ -428,12 +452,12 @@ SQL = {
     f"AS judge_score, 'Result: ' || p AS model_output FROM (SELECT *, {_SAID.format(x='input')} AS p FROM pairs)",
     "infer": f"SELECT doc_id, CASE WHEN lang <> 'es' THEN CASE WHEN n % 2 = 1 THEN 'fraud' ELSE 'legit' END END AS label, "
     "CASE WHEN lang <> 'es' THEN 1.0::DOUBLE END AS confidence, CASE WHEN lang <> 'es' THEN n::INTEGER END AS prompt_length, "
-    "CASE WHEN lang = 'es' THEN 'Eingabetext darf nicht leer sein.' END AS error "
+    f"CASE WHEN lang = 'es' THEN {fr.lit(V.BLANK_INPUT_ERROR)} END AS error "
     f"FROM (SELECT *, length({fr.lit(V.INFERENCE_HEAD)} || text) AS n FROM documents)",
     "generate_flow": f"WITH planned AS ({_plan_sql()}) SELECT id, prompt AS text, label, s::INTEGER AS score, 0 AS attempt "
     f"FROM (SELECT *, (length(prompt) + {_QUALITY_LENGTH}) % 6 AS s FROM planned) WHERE s >= 4",
     "read_jsonl_lenient": f"SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents WHERE lang <> 'fr'",
-    "read_jsonl_lenient_bad": "SELECT (length(line) - 1)::INTEGER AS length, substr(line, 1, 24) AS start FROM (SELECT lang, "
+    "read_jsonl_lenient_bad": "SELECT (length(line) - 1)::INTEGER AS length, md5(substr(line, 1, length(line) - 1)) AS digest FROM (SELECT lang, "
     "'{\"call_id\":\"' || printf('doc-%05d', doc_id) || '\",\"text\":' || to_json(text)::VARCHAR || '}' AS line FROM documents) "
     "WHERE lang = 'fr'",
     "validate_jsonl": "SELECT count(*) AS total, count_if(lang = 'fr') AS bad_json, 0::BIGINT AS missing_key FROM documents",

@@ -280,7 +280,7 @@ SQL = {
     "drop_empty_text": f"SELECT doc_id, {_GAPPY} AS text FROM documents WHERE length({_GAPPY}) > 0",
     "drop_empty_input": f"SELECT doc_id, {_GAPPY} AS input FROM documents WHERE coalesce({_GAPPY}, '') <> ''",
     "reject_blank_input": f"SELECT doc_id, {_GAPPY} AS text, CASE WHEN coalesce({fr.strip_sql(_GAPPY)}, '') = '' "
-    "THEN 'Eingabetext darf nicht leer sein.' END AS error FROM documents",
+    f"THEN {fr.lit(V.BLANK_INPUT_ERROR)} END AS error FROM documents",
     "inject_noise": f"{_NOISY} SELECT * FROM noisy",
     "noise_stats": f"{_NOISY} SELECT branch, count(*) AS calls FROM branched GROUP BY branch",
     "noise_presence_gate": f"{_NOISY} SELECT bool_or(contains(call_id, '_DUP')) AS has_duplicates, "
