@@ -117,9 +117,9 @@ def test_lookup_join_equals_a_plain_join(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"k{i}" if i % 3 == 1 else None) for i in range(900)]
     left = spark.createDataFrame(rows, "n int, key string")
     right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k4", 3), ("other", 4)], "key string, v int")
-    assert "hot" in skew.hot_keys(left, "key", 0.1)
+    assert skew.hot_keys(left, "key", 0.1, 1) == ["hot"] and skew.hot_keys(left, "key", 0.1) == []
     for how in ("inner", "left"):
-        got = sorted(rows_of(skew.lookup_join(left, right, "key", how, 0.1)), key=repr)
+        got = sorted(rows_of(skew.lookup_join(left, right, "key", how, 0.1, 1)), key=repr)
         assert got == sorted(rows_of(left.join(right, "key", how)), key=repr)
         assert got == sorted(rows_of(skew.lookup_join(left, right, "key", how, None)), key=repr)
 
@@ -127,7 +127,7 @@ def test_lookup_join_equals_a_plain_join(spark):
 def test_lookup_join_keeps_hot_rows_where_they_are(spark):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"))
     right = left.distinct().withColumn("v", F.lit(1))
-    plan = skew.lookup_join(left, right, "key", share=0.1)._jdf.queryExecution().executedPlan().toString()
+    plan = skew.lookup_join(left, right, "key", share=0.1, rows=1)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Union" in plan
 
 
