@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 from callsift.functions.text import long_enough, score_length
 from callsift import fixed_values as V
 from callsift.operators.skew import first_per_key, lookup_join
+from callsift.session import settle
 
 
 def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_hashes", F.md5(text))
 
 
+def _settled_hashes(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """(id, _hashes), written once: the passes that follow read two short columns and no text."""
+    return settle(with_hash(df.select(row_id, text), text).select(row_id, "_hashes"), "hashes")
+
+
 def duplicate_groups(df: DataFrame, row_id: str = "id", text: str = "text") -> DataFrame:
     """(id, _hashes) of every row whose text occurs more than once.
 
     Groups are counted with map-side combine, and only ids and hashes are joined back. A hot text is not shuffled.
     """
-    slim = with_hash(df.select(row_id, text), text).select(row_id, "_hashes")
+    slim = _settled_hashes(df, row_id, text)
     shared = slim.groupBy("_hashes").agg(F.count("*").alias("_copies")).where("_copies > 1").select("_hashes")
     return lookup_join(slim, shared, "_hashes").select(row_id, "_hashes")
 
@@ -31,7 +37,7 @@ def keep_first_duplicate(df: DataFrame, row_id: str = "id", text: str = "text")
 
 def later_duplicates(df: DataFrame, row_id: str = "id", text: str = "text") -> DataFrame:
     """Ids that keep_first_duplicate drops."""
-    slim = with_hash(df.select(row_id, text), text).select(row_id, "_hashes")
+    slim = _settled_hashes(df, row_id, text)
     first = slim.groupBy("_hashes").agg(F.min(row_id).alias("_first"))
     return lookup_join(slim, first, "_hashes").where(F.col(row_id) > F.col("_first")).select(row_id)
 
