@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from callsift.llm.base import table
 from callsift.llm.quality_rules import apply_quality_rules
+from callsift.llm.warc import read_resolved, write_archive
+from callsift.session import fresh_path
 
 QUERIES, SQL = {}, {}
 
@@ -13,6 +17,30 @@ def query(function):
     return function
 
 
+# --- 4: WARC --------------------------------------------------------------------------------------
+
+
+@query
+def op4_warc_revisits(spark, folder):
+    """All pages written as archives and read back."""
+    path = fresh_path(spark, "warc")
+    write_archive(table(spark, folder, "pages"), path)
+    return read_resolved(spark, path).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")
+    )
+
+
+SQL["op4_warc_revisits"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT page_id, unnest(range(8)) AS g FROM p),
+b AS (SELECT page_id, g, ('0x' || substr(h, 1 + 5 * g, 5))::BIGINT AS v FROM g JOIN p USING (page_id)),
+c AS (SELECT page_id, string_agg(list_aggregate(list_transform([15, 10, 5, 0],
+      lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31)::INT, 1)), 'string_agg', ''), '' ORDER BY g) AS payload_digest FROM b GROUP BY page_id),
+f AS (SELECT page_id, payload_bytes, payload_digest, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p JOIN c USING (page_id))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to FROM f
+"""
+
 # --- 8: quality rules -----------------------------------------------------------------------------
 
 
