@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from callsift.llm.base import table
 from callsift.llm.quality_rules import apply_quality_rules
+from callsift.llm.language_id import predict, train
+from callsift.llm.simhash import simhash_components
 from callsift.llm.warc import read_resolved, write_archive
 from callsift.session import fresh_path
 
@@ -41,6 +43,26 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
        CASE WHEN first < page_id THEN first END AS refers_to FROM f
 """
 
+# --- 6: language ID -------------------------------------------------------------------------------
+
+
+@query
+def op6_language_id(spark, folder):
+    """Predicted language of every document, learned from the documents that are not held out."""
+    docs = table(spark, folder, "documents").withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2)
+    model = train(docs.where("NOT held_out"))
+    return predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+# --- 7: SimHash -----------------------------------------------------------------------------------
+
+
+@query
+def op7_simhash(spark, folder):
+    """Fingerprint and component of every document."""
+    return simhash_components(table(spark, folder, "documents"))
+
+
 # --- 8: quality rules -----------------------------------------------------------------------------
 
 
