@@ -22,11 +22,11 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "replace")
 
 
-def map_columns(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str | T.StructType) -> DataFrame:
-    """Run a function of column lists over the Arrow batches of each partition.
+def map_columns(df: DataFrame, make: Callable[[], Callable[[dict], dict | Iterator[dict]]], schema: str | T.StructType) -> DataFrame:
+    """Run a function of columns over the Arrow batches of each partition.
 
-    `make` is called once for each partition and gives the function; the function gets the input columns as lists and
-    returns the output columns as lists or Arrow arrays. Rows need not be as many as before.
+    `make` is called once for each partition and gives the function. It gets the input columns as Arrow arrays and returns
+    the output columns as lists or Arrow arrays, or yields several such results. Rows need not be as many as before.
     """
     wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
@@ -36,9 +36,21 @@ def map_columns(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], di
         for batch in batches:
             if batch.num_rows:
                 made = work({name: batch.column(i) for i, name in enumerate(batch.schema.names)})
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in ((made[f.name], f) for f in arrow)],
-                    schema=arrow,
-                )
+                for part in [made] if isinstance(made, dict) else made:
+                    columns = [(part[f.name], f) for f in arrow]
+                    yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in columns], schema=arrow)
 
     return df.mapInArrow(run, wanted)
+
+
+def portions(values: list, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive values whose lengths sum to about `size`; a longer value is a range of its own."""
+    start, total = 0, 0
+    for i, value in enumerate(values):
+        n = len(value or "")
+        if i > start and total + n > size:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(values):
+        yield start, len(values)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callsift.llm.base import table
+from callsift.llm.packing import pack
 from callsift.llm.quality_rules import apply_quality_rules
+from callsift.llm.bpe import encode_decode
 from callsift.llm.language_id import predict, train
 from callsift.llm.simhash import simhash_components
 from callsift.llm.warc import read_resolved, write_archive
@@ -43,6 +45,20 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
        CASE WHEN first < page_id THEN first END AS refers_to FROM f
 """
 
+# --- 5: BPE ---------------------------------------------------------------------------------------
+
+
+@query
+def op5_bpe(spark, folder):
+    """Ids of every document and the text that they decode to, as digests."""
+    return encode_decode(table(spark, folder, "documents")).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 # --- 6: language ID -------------------------------------------------------------------------------
 
 
@@ -101,3 +117,11 @@ c AS (SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, length(regexp_replace(d.tex
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT *, NOT base_failed AND 100 * n_boilerplate_words <= 50 * n_words AS kept FROM f
 """
+
+# --- 10: packing ----------------------------------------------------------------------------------
+
+
+@query
+def op10_packing(spark, folder):
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return pack(table(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
