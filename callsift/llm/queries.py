@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callsift.llm.base import table
+from callsift.llm.neighbours import nearest_neighbours
 from callsift.llm.packing import pack
 from callsift.llm.quality_rules import apply_quality_rules
 from callsift.llm.bpe import encode_decode
@@ -21,6 +22,16 @@ def query(function):
     return function
 
 
+# --- 3: nearest neighbours ------------------------------------------------------------------------
+
+
+@query
+def op3_nearest(spark, folder):
+    """The five nearest of every vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 # --- 4: WARC --------------------------------------------------------------------------------------
 
 
