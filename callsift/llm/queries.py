@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from callsift.llm import licenses
 from callsift.llm.base import table
 from callsift.llm.neighbours import nearest_neighbours
 from callsift.llm.packing import pack
@@ -196,6 +197,24 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT *, NOT base_failed AND 100 * n_boilerplate_words <= 50 * n_words AS kept FROM f
 """
 
+# --- 9: licences ----------------------------------------------------------------------------------
+
+
+@query
+def op9_licenses(spark, folder):
+    """Confirmed licence families of every document, and how many passages were predicted without being confirmed."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs)).drop("text")
+    sure = F.filter("licenses", lambda x: x["match"] >= licenses.CONFIRM)
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"),
+        F.size(sure).cast("long").alias("n_confirmed"),
+        (F.size("licenses") - F.size(sure)).cast("long").alias("n_unconfirmed"),
+        F.array_max(F.transform(sure, lambda x: x["probability"])).alias("probability"),
+    )
+
+
 # --- 10: packing ----------------------------------------------------------------------------------
 
 
