@@ -11,6 +11,7 @@ from callsift.llm.packing import pack
 from callsift.llm.quality_rules import apply_quality_rules
 from callsift.llm.bpe import encode_decode
 from callsift.llm.language_id import predict, train
+from callsift.llm.repeats import remove_repeats
 from callsift.llm.simhash import simhash_components
 from callsift.llm.tool_calls import link_tool_calls
 from callsift.llm.warc import read_resolved, write_archive
@@ -90,6 +91,16 @@ SELECT conv_id, call_id, parent_id, name, turn, arguments,
 FROM a
 """
 
+# --- 2: repeated substrings -----------------------------------------------------------------------
+
+
+@query
+def op2_suffix_dedup(spark, folder):
+    """What is left of every document without strings of 100 bytes that start earlier."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- 3: nearest neighbours ------------------------------------------------------------------------
 
 
