@@ -313,14 +313,15 @@ def cut_spans(data: bytes, spans: list | None) -> tuple[bytes, int, int]:
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Every row with n_bytes, n_removed, n_spans and kept (binary): its text without bytes that a repeat covers.
+    """Every row with n_bytes, n_removed, n_spans, kept (binary) and kept_text: its text without bytes that a repeat covers.
 
     A byte goes if it lies in a string of `length` bytes that also starts earlier: in a row with a smaller key, or earlier
     in the same row. Strings are judged on the input. Rows with equal key and different texts are in an order of their
     text's hash; rows that repeat key and text are one document and get one result; null keys come last. Null text is
-    empty. Other columns pass through (those named like results are replaced).
+    empty. kept_text leaves out bytes that no longer make up a character. Other columns pass through (those named like
+    results are replaced).
     """
-    made = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary")
+    made = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
     rest = [f for f in df.schema.fields if f.name not in made.names]
     order = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
     named = df.select(*[F.col(f"`{f.name}`") for f in rest]).withColumns({"_doc": order, "_key": F.hash(F.coalesce(text, F.lit("")))})
@@ -331,7 +332,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         def work(columns):
             data = [utf8(t) for t in columns[text].to_pylist()]
             kept, removed, count = zip(*map(cut_spans, data, columns["_spans"].to_pylist()))
-            return {f.name: columns[f.name] for f in rest} | {"n_bytes": list(map(len, data)), "n_removed": list(removed), "n_spans": list(count), "kept": list(kept)}
+            left = [k.decode("utf-8", "ignore") for k in kept]
+            found = {"n_bytes": list(map(len, data)), "n_removed": list(removed), "n_spans": list(count), "kept": list(kept), "kept_text": left}
+            return {f.name: columns[f.name] for f in rest} | found
 
         return work
 
