@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from callsift.functions.once import let
 
+# Spark's parsers stop at 20 million characters and 1000 digits unless told otherwise.
+OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": "2147483647", "maxNumLen": "2147483647"}
+
 
 def _closed(text: Column) -> Column:
     """The text as first element of an array that ends with its own md5.
@@ -22,8 +25,18 @@ def _is_whole(closed: Column, text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """Whether the text is exactly one JSON value; false for null."""
-    return F.coalesce(_is_whole(_closed(text), text), F.lit(False))
+    """Whether the text is exactly one JSON value of any size; false for null."""
+
+    def whole(known: Column) -> Column:
+        closed = F.from_json(F.concat(F.lit("["), known, F.lit(',"'), F.md5(known), F.lit('"]')), "array<string>", OPTIONS)
+        return let(closed, lambda two: (F.size(two) == 2) & (F.try_element_at(two, F.lit(2)) == F.md5(known)))
+
+    return F.coalesce(let(text, whole), F.lit(False))
+
+
+def whole_json(text: Column, schema: str) -> Column:
+    """The text parsed by a schema; null unless all of it is one JSON value."""
+    return let(text, lambda known: F.when(is_json(known), F.from_json(known, schema, OPTIONS)))
 
 
 def json_at(text: Column, path: str, kind: str) -> Column:
@@ -39,4 +52,4 @@ def json_at(text: Column, path: str, kind: str) -> Column:
 
 def has_key(text: Column, key: str) -> Column:
     """Whether a JSON object has the key, also with a null value; false for anything else."""
-    return F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
+    return F.coalesce(F.map_contains_key(whole_json(text, "map<string,string>"), key), F.lit(False))

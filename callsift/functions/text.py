@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
 from operator import or_
 
@@ -9,12 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
-from callsift.functions.once import literal_array
+from callsift.functions.jsontext import whole_json
 
 # Every code point that Python's str.strip() removes; Spark's trim() alone cuts plain spaces only.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-_PAIR = "struct<broken: string, clean: string>"
 _TURNS = "transcript ARRAY<MAP<STRING, STRING>>"
 
 
@@ -60,17 +61,17 @@ def join_turns(turns: Column) -> Column:
 
 def flatten_transcript(text: Column, response: Column) -> Column:
     """The flat text when there is one (even ''), else the turns nested in the JSON `response`, else ''."""
-    turns = F.from_json(response, _TURNS)["transcript"]
+    turns = whole_json(response, _TURNS)["transcript"]
     return F.coalesce(text, join_turns(turns), F.lit(""))
 
 
 def broken_pairs() -> list[tuple[str, str]]:
-    """(broken, clean) for the Latin-1 letters, as UTF-8 read in Latin-1 or in Windows-1252.
+    """(broken, clean) for the printable Latin-1 characters, as UTF-8 read in Latin-1 or in Windows-1252.
 
     The two lead characters themselves are left out, so that a second repair changes nothing.
     """
     pairs = []
-    for code in range(0xC0, 0x100):
+    for code in range(0xA0, 0x100):
         clean = chr(code)
         if clean in "ÂÃ":
             continue
@@ -87,11 +88,21 @@ def break_umlauts(text: Column) -> Column:
 
 
 def repair_unicode(text: Column, pairs: list[tuple[str, str]] | None = None) -> Column:
-    """Undo doubly read UTF-8. Texts without a lead character skip the whole chain."""
+    """Undo doubly read UTF-8 in one pass: cut before each lead character, translate what a piece begins with.
+
+    The longest broken form that fits is taken. Texts without a lead character are left alone.
+    """
     pairs = broken_pairs() if pairs is None else pairs
     leads = sorted({broken[0] for broken, _ in pairs})
-    known = literal_array([{"broken": broken, "clean": clean} for broken, clean in pairs], _PAIR)
-    fixed = F.aggregate(known, text, lambda t, pair: F.replace(t, pair["broken"], pair["clean"]))
+    sizes = sorted({len(broken) for broken, _ in pairs}, reverse=True)
+    known = F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
+
+    def mend(piece: Column) -> Column:
+        fits = [F.concat(F.try_element_at(known, F.left(piece, F.lit(n))), F.substring(piece, n + 1, 2**31 - 1)) for n in sizes]
+        return F.coalesce(*fits, piece)
+
+    cut = F.split(text, f"(?=[{re.escape(''.join(leads))}])")
+    fixed = F.array_join(F.transform(cut, mend), "")
     return F.when(reduce(or_, [F.contains(text, F.lit(lead)) for lead in leads]), fixed).otherwise(text)
 
 

@@ -1,83 +1,67 @@
-"""Consecutive numbers without a single-task window."""
+"""Consecutive numbers without a single-task window over the rows."""
 
 from __future__ import annotations
 
-from itertools import accumulate
-from math import ceil
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
-from callsift.functions.once import literal_array
 from callsift.functions.text import padded_id
+from callsift.session import settle
+
+
+def _number_stored(stored: DataFrame, group: str, block: str, out: str, start: int) -> DataFrame:
+    """Number written rows by (group, block, _at): a row's number is the rows before its block plus its place inside.
 
-ROWS_PER_BUCKET = 100_000
-KEYS_PER_BUCKET = 8
-MOST_BUCKETS = 32_768
+    Every figure comes from stored values, so it does not matter how the table is split when it is read. Sums are taken
+    at two levels, blocks inside their group and groups as a whole, and come back as a joined table of one row per block.
+    """
+    blocks = stored.groupBy(group, block).agg(F.count("*").alias("_n"), F.min("_at").alias("_least"))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = blocks.withColumn("_inside", before(Window.partitionBy(group).orderBy(block)))
+    groups = blocks.groupBy(group).agg(F.sum("_n").alias("_n")).withColumn("_groups", before(Window.orderBy(group))).drop("_n")
+    offsets = inside.join(groups, group).select(
+        F.col(group).alias("_g"), F.col(block).alias("_b"), (F.col("_groups") + F.col("_inside") - F.col("_least") + start).alias("_offset")
+    )
+    joined = stored.join(settle(offsets, "offsets"), (F.col(group) == F.col("_g")) & (F.col(block) == F.col("_b")))
+    return joined.withColumn(out, (F.col("_offset") + F.col("_at")).cast("bigint")).drop("_g", "_b", "_offset")
 
 
 def number_by_position(scan: DataFrame, out: str = "row_id", start: int = 0) -> DataFrame:
-    """Number the rows of a bare file scan in scan order: no shuffle and no sort.
+    """Number the rows of a file scan in the order of (file path, position in the file).
 
-    One pass counts rows per scan partition (no column is read), the other adds the offset. Both see the same
-    partitions because a scan is split by its file list and sizes only, and a re-run task reads the same rows in the
-    same order. A plan that moves rows has no such order, so it is refused; use number_by_key there.
+    The rows are written once with their file, the start of their part of it and a running number; all else is read from
+    there, so dynamic allocation, other split settings or a late action cannot change a number. A plan that is no file
+    scan (or that has lost sight of its files) has no such order and is refused; use number_by_key there. Readers of this
+    library carry file_path and file_block, which are used where they are present.
     """
-    if "Exchange" in scan._jdf.queryExecution().executedPlan().toString():
-        raise ValueError("position numbers need a bare scan; number this plan by a key")
-    parts = scan.select(F.spark_partition_id().alias("p"))
-    counts = {r["p"]: r["n"] for r in parts.groupBy("p").agg(F.count("*").alias("n")).collect()}
-    size = max(counts, default=-1) + 1
-    offsets = [0, *accumulate(counts.get(p, 0) for p in range(size))]
-    place = F.monotonically_increasing_id()
-    offset = F.element_at(literal_array(offsets, "bigint"), F.shiftright(place, 33).cast("int") + 1)
-    return scan.withColumn(out, offset + place.bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(start))
-
-
-def _range_bucket(df: DataFrame, key: Column, buckets: int, rows: int) -> Column:
-    """Bucket number of the key between sampled bounds. The bounds only route rows, any choice is exact."""
-    fraction = min(1.0, buckets * KEYS_PER_BUCKET / rows)
-    keys = df.select(key.alias("k")).sample(fraction, seed=0)
-    # A sorted sample of bounded size: KEYS_PER_BUCKET keys for each bucket.
-    found = [r["k"].asDict() for r in keys.orderBy("k").collect()]
-    step = max(1, len(found) // buckets)
-    bounds = found[step::step][: buckets - 1]
-    if not bounds:
-        return F.lit(0)
-    kind = keys.schema["k"].dataType.simpleString()
-    bound = literal_array(bounds, kind)
-    # Binary search: keep adding the largest step whose bound is not above the key.
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        literal_array(steps, "int"),
-        F.lit(0),
-        lambda at, jump: F.when(
-            (at + jump <= len(bounds)) & (key >= F.try_element_at(bound, at + jump)), at + jump
-        ).otherwise(at),
-    )
+    given = {"file_path", "file_block"} <= set(scan.columns)
+    try:
+        placed = scan.withColumns(
+            {
+                "_file": F.col("file_path" if given else "_metadata.file_path"),
+                "_block": F.col("file_block" if given else "_metadata.file_block_start"),
+                "_at": F.monotonically_increasing_id(),
+            }
+        )
+    except AnalysisException as error:
+        raise ValueError("position numbers need a file scan; number this plan by a key") from error
+    return _number_stored(settle(placed, "positions"), "_file", "_block", out, start).drop("_file", "_block", "_at")
 
 
 def number_by_key(
-    df: DataFrame, order_by: list[str], out: str = "row_id", start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, order_by: list[str], out: str = "row_id", start: int = 0, partitions: int | None = None
 ) -> DataFrame:
-    """Number rows 0..n-1 in the order of `order_by`, which must identify a row.
+    """Number rows 0..n-1 in the order of `order_by`, which must identify a row and should be short.
 
-    Rows are routed to key ranges of about `rows_per_bucket` rows; a row's number is the size of the ranges before
-    its own plus its place inside. The driver sees only bounds and range sizes.
+    A range shuffle and a sort inside the partitions; the sorted rows are written with their place, and sums of partition
+    sizes make it a number in the whole. `partitions` (default: Spark's own, with AQE) bounds the work of a task.
     """
-    rows = df.count()
-    buckets = min(MOST_BUCKETS, ceil(rows / rows_per_bucket)) if rows else 1
-    key = F.struct(*order_by)
-    bucket = _range_bucket(df, key, buckets, rows) if buckets > 1 else F.lit(0)
-    placed = df.withColumn("_range", bucket)
-    offset: Column = F.lit(0)
-    if buckets > 1:
-        counts = {r["_range"]: r["n"] for r in placed.groupBy("_range").agg(F.count("*").alias("n")).collect()}
-        sizes = [counts.get(b, 0) for b in range(max(counts) + 1)]
-        offset = F.element_at(literal_array([0, *accumulate(sizes)], "bigint"), F.col("_range") + 1)
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by))
-    return placed.withColumn(out, place.cast("bigint") - 1 + offset + F.lit(start)).drop("_range")
+    ordered = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
+    placed = settle(ordered.sortWithinPartitions(*order_by).withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    stored = placed.withColumns({"_part": F.shiftright("_at", 33), "_group": F.shiftright("_at", 43)})
+    return _number_stored(stored, "_group", "_part", out, start).drop("_group", "_part", "_at")
 
 
 def _numbered(df: DataFrame, order_by: list[str] | None, out: str, start: int) -> DataFrame:
@@ -87,7 +71,7 @@ def _numbered(df: DataFrame, order_by: list[str] | None, out: str, start: int) -
 def add_id(
     df: DataFrame, order_by: list[str] | None = None, out: str = "id", prefix: str = V.ID_PREFIX, start: int = 0
 ) -> DataFrame:
-    """Consecutive prefixed ids, by key order or, for a bare file scan, by position."""
+    """Consecutive prefixed ids, by key order or, for a file scan, by position."""
     numbered = _numbered(df, order_by, "_number", start)
     return numbered.withColumn(out, padded_id(f"{prefix}-", F.col("_number"), 10)).drop("_number")
 

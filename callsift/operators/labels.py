@@ -16,7 +16,7 @@ def present_columns(df: DataFrame, names: list[str]) -> list[Column]:
 
 
 def gold_last_wins(
-    gold: DataFrame, order_by: list[str], row_id: str = "id", aliases: tuple[str, ...] = ("label", "fraud_type")
+    gold: DataFrame, order_by: list[str], row_id: str = "id", aliases: tuple[str, ...] = ("label", "fraud_type", "ground_truth")
 ) -> DataFrame:
     """(id, label): the last label of each id in the given order; rows without id or label do not count."""
     label = gold_label(*present_columns(gold, list(aliases)))
@@ -55,9 +55,10 @@ def map_columns(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame
     return df.withColumnsRenamed(names or {"input": "question", "output": "answer"})
 
 
-def label_distribution(gold: DataFrame, label: str = "label") -> DataFrame:
-    """One row: label counts, fraud share and whether the share passes the gate."""
-    fraud, legit = (F.count_if(F.col(label) == name) for name in V.LABELS)
+def label_distribution(gold: DataFrame, aliases: tuple[str, ...] = ("label", "fraud_type", "ground_truth")) -> DataFrame:
+    """One row: label counts, fraud share and whether the share passes the gate. The first alias with a value counts."""
+    label = gold_label(*present_columns(gold, list(aliases)))
+    fraud, legit = (F.count_if(label == name) for name in V.LABELS)
     share = F.coalesce(F.try_divide(fraud.cast("double"), F.count("*")), F.lit(0.0))
     low, high = V.FRAUD_SHARE
     return gold.agg(

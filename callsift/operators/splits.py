@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import draws
+from callsift.session import settle
 
 NAMES = ["train", "validation", "test"]
 _DIGITS = 4  # hex digits per histogram level: at most 65536 counts reach the driver
@@ -19,12 +20,21 @@ def split_sizes_for(rows: int, train: float = V.TRAIN_SHARE, validation: float =
     return end, end + int(rows * validation)
 
 
+def split_digest(seed: int | str, key: list[str]) -> Column:
+    """Digest of a split key. Several columns are each written as length and value (null: -), so no two keys read alike."""
+    if len(key) == 1:
+        return draws.digest(seed, F.col(key[0]))
+    parts = [F.coalesce(F.concat(F.length(k).cast("string"), F.lit(":"), k), F.lit("-")) for k in (F.col(c).cast("string") for c in key)]
+    return draws.digest(seed, F.concat(*parts))
+
+
 def seeded_shuffle(df: DataFrame, key: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
     """The rows in the reproducible random order of md5(seed, key): a distributed range sort.
 
-    Rows with one key are ordered by content, so that a key that fills a third of the table is still cut into ranges.
+    Rows with one key are ordered by content and equal rows by chance, so that a row that fills a third of the table is
+    still cut into ranges; the order of equal rows does not matter.
     """
-    return df.orderBy(draws.digest(seed, *map(F.col, key)), F.xxhash64(*df.columns))
+    return df.orderBy(split_digest(seed, key), F.xxhash64(*df.columns), F.rand(seed))
 
 
 def _counts(keyed: DataFrame, prefix: str, digits: int) -> list[tuple[str, int]]:
@@ -73,7 +83,7 @@ def _same_rows(keyed: DataFrame, value: str, shares: list[tuple[str, int]], chun
 
 def with_order(df: DataFrame, key: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
     """Add `_order`, the digest that shuffles the rows. `key` must tell different rows apart."""
-    return df.withColumn("_order", draws.digest(seed, *map(F.col, key)))
+    return df.withColumn("_order", split_digest(seed, key))
 
 
 def split_by_order(
@@ -111,8 +121,8 @@ def seeded_split_exact(
     train: float = V.TRAIN_SHARE,
     validation: float = V.VALIDATION_SHARE,
 ) -> DataFrame:
-    """Add `split` in md5(seed, key) order. Settle with_order() first when the rows or their key are costly."""
-    return split_by_order(with_order(df, key, seed), train, validation)
+    """Add `split` in md5(seed, key) order. The rows are written once with their digest; the passes read that column."""
+    return split_by_order(settle(with_order(df, key, seed), "split"), train, validation)
 
 
 def slice_split(df: DataFrame, rank: str, ends: tuple[int, int]) -> DataFrame:
@@ -130,7 +140,7 @@ def seeded_split_hash(
     validation: float = V.VALIDATION_SHARE,
 ) -> DataFrame:
     """Add `split` by a threshold on the draw: one pass, sizes are approximate."""
-    draw = draws.uniform(draws.digest(seed, *map(F.col, key)))
+    draw = draws.uniform(split_digest(seed, key))
     label = F.when(draw < train, NAMES[0]).when(draw < train + validation, NAMES[1]).otherwise(NAMES[2])
     return df.withColumn("split", label)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
@@ -11,8 +11,8 @@ from callsift.functions.text import long_enough, padded_id, repair_unicode, scor
 from callsift.operators.dedup import keep_first_duplicate
 from callsift.operators.ids import number_by_position
 from callsift.operators.scoring import apply_filter, apply_modifiers
-from callsift.session import spread
-from callsift.sources.jsonl import DOCUMENT, read_jsonl_strict, write_curated
+from callsift.session import whole_job
+from callsift.sources.jsonl import check_lines, data_lines, record_line, record_parts
 
 
 def clean_rows(docs: DataFrame, text: str = "text", least: int = V.MIN_LENGTH) -> DataFrame:
@@ -29,11 +29,27 @@ def curate(docs: DataFrame, row_id: str = "id", text: str = "text", least: int =
     return keep_first_duplicate(clean_rows(docs, text, least), row_id, text)
 
 
-def run_curation(spark: SparkSession, source: str, target: str, schema: str = DOCUMENT) -> dict[str, float]:
-    """Curate a JSON Lines data set into `target`; returns rows in, kept, removed and the removed share."""
-    docs, rows_in = read_jsonl_strict(spark, source, schema)
-    numbered = spread(number_by_position(docs.drop("id"), "_position"), "_position")
-    kept_rows = curate(numbered, "_position")
-    write_curated(kept_rows.select(padded_id(f"{V.ID_PREFIX}-", F.col("_position"), 10).alias("id"), "*").drop("_position"), target)
-    kept = spark.read.text(target).count()
+@whole_job
+def run_curation(spark: SparkSession, source: str, target: str) -> dict[str, float]:
+    """Curate a JSON Lines data set into `target`; returns rows in, kept, removed and the removed share.
+
+    Records stay as they are: only `id` and `text` are replaced, and file_name is added. Lines are written once with
+    their number, which is their place in (file path, position) order; validation and curation read that table, and the
+    kept rows are counted while they are written.
+    """
+    lines = number_by_position(data_lines(spark, source), "_position")
+    rows_in = check_lines(lines, source)
+    values, strings = record_parts(F.col("value"))
+    parsed = lines.select(values.alias("_values"), strings.alias("_strings"), "_position", "file_path")
+    docs = parsed.withColumn("text", F.col("_values")["text"])
+    kept_rows = curate(docs, "_position")
+    new = {
+        "id": padded_id(f"{V.ID_PREFIX}-", F.col("_position"), 10),
+        "text": F.col("text"),
+        "file_name": F.element_at(F.split("file_path", "/"), -1),
+    }
+    seen = Observation("curated")
+    shown = kept_rows.select(record_line(F.col("_values"), F.col("_strings"), new).alias("value"))
+    shown.observe(seen, F.count("*").alias("kept")).write.mode("overwrite").text(target)
+    kept = seen.get["kept"]
     return {"rows_in": rows_in, "kept": kept, "removed": rows_in - kept, "removed_share": (rows_in - kept) / rows_in}

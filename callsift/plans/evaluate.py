@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -34,14 +35,27 @@ def predict(
     return scored.withColumn("gold", gold(F.col("output"))).withColumn("pred", parse(F.col("answer")))
 
 
-def evaluate(pairs: DataFrame, make_ask: Callable, metrics_path: str | None = None, **options) -> DataFrame:
-    """The run metrics, one row per mode. Answers are settled, so the model is asked once per row and mode."""
+def evaluate(
+    pairs: DataFrame,
+    make_ask: Callable,
+    metrics_path: str | None = None,
+    run: str | None = None,
+    model_name: str = "",
+    dataset_file: str = "",
+    **options,
+) -> DataFrame:
+    """The run metrics, one row per mode. Answers are settled, so the model is asked once per row and mode.
+
+    With a metrics path, each mode is logged as `run`-mode (default: a new id) with model, data set and mode.
+    """
+    run = run or uuid.uuid4().hex
     answers = settle(predict(pairs, make_ask, **options), "answers")
     metrics = run_metrics(answers, by=["mode"])
     if metrics_path:
         for mode in options.get("modes", ("zero-shot", "few-shot")):
             one = metrics.where(F.col("mode") == mode).drop("mode")
-            log_run_metrics(one, f"evaluation-{mode}", {"evaluation_mode": mode}, metrics_path)
+            params = {"model_name": model_name, "dataset_file": dataset_file, "evaluation_mode": mode}
+            log_run_metrics(one, f"{run}-{mode}", params, metrics_path)
     return metrics
 
 
@@ -49,7 +63,7 @@ def judge(pairs: DataFrame, make_worker: Callable, make_judge: Callable, order_b
     """The judge report: worker answer, label, and the verdict of a second model on them.
 
     Rows without a verdict stay, with null columns, as they count in the pass rate. Worker answers are settled before
-    the judge reads them.
+    the judge reads them. `order_by` must identify a row and be short: it is what the report is numbered by.
     """
     rows = report_row_number(drop_empty_input(pairs), order_by)
     rows = rows.select("id", F.col("input").alias("_text"), gold_plain(F.col("output")).alias("true_label"))

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from callsift import fixed_values as V
 from callsift.operators.labels import attach_gold, gold_last_wins, match_stats, to_sft_pair
 from callsift.operators.splits import NAMES, split_by_order, split_sizes, with_order
-from callsift.session import settle
-from callsift.sources.jsonl import DOCUMENT, GOLD, read_jsonl_plain
+from callsift.session import settle, whole_job
+from callsift.sources.jsonl import DOCUMENT, GOLD, PLACE, read_jsonl_plain
 
 
 def prepare_pairs(docs: DataFrame, gold: DataFrame, gold_order: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
@@ -17,21 +17,29 @@ def prepare_pairs(docs: DataFrame, gold: DataFrame, gold_order: list[str], seed:
     The pairs are settled with their digest, so the join and the hashing of texts run once and the passes that find
     the cuts read one short column.
     """
-    pairs = to_sft_pair(attach_gold(docs, gold_last_wins(gold, gold_order)))
+    return pairs_of(docs, gold_last_wins(gold, gold_order), seed)
+
+
+def pairs_of(docs: DataFrame, gold: DataFrame, seed: int = V.SPLIT_SEED) -> DataFrame:
+    """prepare_pairs() for gold that has one row per id."""
+    pairs = to_sft_pair(attach_gold(docs, gold))
     return split_by_order(settle(with_order(pairs, ["input", "output"], seed), "pairs"))
 
 
+@whole_job
 def run_prepare_pairs(
     spark: SparkSession, docs_path: str, gold_path: str, target: str, seed: int = V.SPLIT_SEED
 ) -> dict[str, int]:
-    """Write `target/split=train|validation|test`; returns match counts and split sizes."""
-    docs = read_jsonl_plain(spark, docs_path, DOCUMENT)
-    gold = read_jsonl_plain(spark, gold_path, GOLD, with_order=True)
-    order = ["file_path", "position"]
-    counts = match_stats(docs, gold_last_wins(gold, order)).first().asDict()
+    """Write `target/split=train|validation|test`; returns match counts and split sizes.
+
+    Both sources are parsed once, into written tables that the counts and the join read.
+    """
+    docs = settle(read_jsonl_plain(spark, docs_path, DOCUMENT).select("call_id", "id", "text"), "documents")
+    gold = settle(gold_last_wins(read_jsonl_plain(spark, gold_path, GOLD, with_order=True), PLACE), "gold")
+    counts = match_stats(docs, gold).first().asDict()
     if not counts["matched"]:
         raise ValueError("no document has a gold label")
-    pairs = prepare_pairs(docs, gold, order, seed)
+    pairs = pairs_of(docs, gold, seed)
     pairs.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("split").json(target)
     written = spark.read.schema("input STRING, output STRING, split STRING").json(target)
     sizes = {r["split"]: r["rows"] for r in split_sizes(written).collect()}

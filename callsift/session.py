@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +26,6 @@ def local_session(app: str = "callsift", cores: str = "*", shuffle_partitions: i
     )
 
 
-FEW_SPLITS = 64
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for per-row work when the input has few splits, such as one file with one row group.
-
-    An input with more than FEW_SPLITS splits, or more splits than cores, is left as it is, so no large table is moved.
-    """
-    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    return df if splits > min(cores, FEW_SPLITS) else df.repartition(cores, key)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local session without one gets a folder of its own."""
     context = spark.sparkContext
@@ -48,8 +38,28 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_JOB: ContextVar[str | None] = ContextVar("job folder", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{(_JOB.get() or shared_folder(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def whole_job(job):
+    """A job whose results are all in its targets: what it settles goes to a folder of its own, deleted when it ends."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        folder = fresh_path(spark, job.__name__)
+        token = _JOB.set(folder)
+        try:
+            return job(spark, *args, **options)
+        finally:
+            _JOB.reset(token)
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    return run
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -2,43 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callsift.functions.jsontext import has_key, is_json
+from callsift.functions.jsontext import OPTIONS, has_key, is_json
 from callsift.functions.text import strip
+from callsift.session import settle
 
 DOCUMENT = "call_id STRING, id STRING, text STRING, is_clean BOOLEAN, noise_type STRING"
 RAW_CALL = "call_id STRING, id STRING, text STRING, response STRING"
-GOLD = "id STRING, label STRING, fraud_type STRING, score INT"
+GOLD = "id STRING, label STRING, fraud_type STRING, ground_truth STRING, score INT"
 PAIR = "input STRING, output STRING"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with their file and a position that keeps the order inside a file."""
-    lines = spark.read.text(path).select(
+def _all_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, the start of their part of it, and a position that keeps the order inside that part."""
+    return spark.read.text(path).select(
         strip(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("file_block"),
         F.monotonically_increasing_id().alias("position"),
     )
-    return lines.where("value <> ''")
+
+
+def data_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that are not blank."""
+    return _all_lines(spark, path).where("value <> ''")
+
+
+PLACE = ["file_path", "file_block", "position"]
 
 
 def _parsed(lines: DataFrame, schema: str, keep: list[str] | None = None) -> DataFrame:
-    return lines.select(F.from_json("value", schema).alias("_row"), *(keep or [])).select("_row.*", *(keep or []))
+    return lines.select(F.from_json("value", schema, OPTIONS).alias("_row"), *(keep or [])).select("_row.*", *(keep or []))
 
 
-def read_jsonl_lenient(spark: SparkSession, path: str, schema: str = RAW_CALL) -> tuple[DataFrame, DataFrame]:
-    """(records, bad lines): bad JSON is set aside with file, position and text. A missing path gives no rows."""
+def read_jsonl_lenient(spark: SparkSession, path: str, schema: str = RAW_CALL, with_order: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, bad lines): bad JSON is set aside with file, position and text. A missing path gives no rows.
+
+    `with_order` adds the record's place (file_path, file_block, position).
+    """
     try:
-        lines = _lines(spark, path)
+        lines = data_lines(spark, path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        empty = spark.createDataFrame([], T.StructType().add("value", "string"))
-        lines = empty.select("value", F.lit("").alias("file_path"), F.lit(0).cast("bigint").alias("position"))
+        kinds = "value string, file_path string, file_block bigint, position bigint"
+        lines = spark.createDataFrame([], kinds)
     good = is_json(F.col("value"))
-    return _parsed(lines.where(good), schema), lines.where(~good)
+    rows = _parsed(lines.where(good), schema, ["value", *(PLACE if with_order else [])])
+    if "text" in rows.columns:  # a number or other value is no text
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), "$.text", "variant"))
+        rows = rows.withColumn("text", F.when(F.coalesce(kind, F.lit("STRING")) == "STRING", F.col("text")))
+    return rows.drop("value"), lines.where(~good)
+
+
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, line (from 1, blank lines included) and text of every line that is no JSON.
+
+    One pass writes the place of every line and the text of the bad ones; line numbers are counted from that table.
+    """
+    lines = _all_lines(spark, path)
+    bad = F.when((F.col("value") != "") & ~is_json(F.col("value")), F.col("value"))
+    places = settle(lines.select("file_path", "file_block", "position", bad.alias("value")), "lines")
+    blocks = places.groupBy("file_path", "file_block").agg(F.count("*").alias("n"), F.min("position").alias("least"))
+    above = Window.partitionBy("file_path").orderBy("file_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).drop("n")
+    found = places.where("value IS NOT NULL").join(blocks, ["file_path", "file_block"])
+    return found.select("file_path", (F.col("above") + F.col("position") - F.col("least") + 1).alias("line"), "value")
 
 
 def validate_jsonl(lines: DataFrame, key: str = "text") -> DataFrame:
@@ -49,30 +80,64 @@ def validate_jsonl(lines: DataFrame, key: str = "text") -> DataFrame:
     )
 
 
-def read_jsonl_strict(
-    spark: SparkSession, path: str, schema: str = DOCUMENT, key: str = "text"
-) -> tuple[DataFrame, int]:
-    """(records, number of records). Fails on a missing path, bad JSON, a missing key or no records at all."""
-    lines = _lines(spark, path)
+def check_lines(lines: DataFrame, path: str, key: str = "text") -> int:
+    """The number of lines; an error if any is no JSON or lacks the key, or if there is none."""
     found = validate_jsonl(lines, key).first()
     if found["bad_json"] or found["missing_key"]:
         raise ValueError(f"{path}: {found['bad_json']} lines are no JSON, {found['missing_key']} lack '{key}'")
     if not found["total"]:
         raise ValueError(f"{path}: no records")
-    return _parsed(lines, schema), found["total"]
+    return found["total"]
+
+
+def read_jsonl_strict(
+    spark: SparkSession, path: str, schema: str = DOCUMENT, key: str = "text"
+) -> tuple[DataFrame, int]:
+    """(records, number of records). Fails on a missing path, bad JSON, a missing key or no records at all."""
+    lines = data_lines(spark, path)
+    total = check_lines(lines, path, key)
+    return _parsed(lines, schema), total
 
 
 def read_jsonl_plain(spark: SparkSession, path: str, schema: str = DOCUMENT, with_order: bool = False) -> DataFrame:
-    """Records of the non-blank lines; bad JSON fails the job. `with_order` adds file_path and position."""
-    lines = _lines(spark, path)
+    """Records of the non-blank lines; bad JSON fails the job. `with_order` adds file_path, file_block and position."""
+    lines = data_lines(spark, path)
     bad = F.raise_error(F.concat(F.lit("no JSON: "), F.col("value")))
     checked = lines.where(F.when(is_json(F.col("value")), F.lit(True)).otherwise(bad.cast("boolean")))
-    return _parsed(checked, schema, ["file_path", "position"] if with_order else None)
+    return _parsed(checked, schema, PLACE if with_order else None)
 
 
 def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT) -> DataFrame:
-    """Documents with the name of the file they came from."""
-    return spark.read.schema(schema).json(path).select("*", F.col("_metadata.file_name").alias("file_name"))
+    """Documents with the name of the file they came from; a line that is no JSON fails the job."""
+    rows = spark.read.schema(schema).options(mode="FAILFAST", **OPTIONS).json(path)
+    return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+
+
+def _text_json(text: Column) -> Column:
+    whole = F.to_json(F.struct(text.alias("t")), {"ignoreNullFields": "false"})
+    return F.substring(F.left(whole, F.length(whole) - 1), 6, 2**31 - 1)
+
+
+def record_parts(line: Column) -> tuple[Column, Column]:
+    """(values, strings) of a JSON object in its own order: values as plain text, and the names of those that are strings.
+
+    A record that Spark's variant parser refuses (a string of over 20 million characters, NaN) does not tell strings from
+    other values; there a value that reads as JSON by itself is taken for that.
+    """
+    values = F.from_json(line, "map<string,string>", OPTIONS)
+    kinds = F.transform_values(F.try_variant_get(F.try_parse_json(line), "$", "map<string,variant>"), lambda k, v: F.schema_of_variant(v))
+    known = F.map_keys(F.map_filter(kinds, lambda k, v: v == "STRING"))
+    guessed = F.map_keys(F.map_filter(values, lambda k, v: ~is_json(v)))
+    return values, F.coalesce(known, guessed)
+
+
+def record_line(values: Column, strings: Column, replaced: dict[str, Column]) -> Column:
+    """The record as one JSON line, with some values replaced by texts; all others stay as they were, null or not."""
+    kept = F.map_filter(values, lambda k, v: ~k.isin(list(replaced)))
+    shown = lambda e: F.when(e["value"].isNull(), "null").when(F.array_contains(strings, e["key"]), _text_json(e["value"])).otherwise(e["value"])
+    others = F.transform(F.map_entries(kept), lambda e: F.concat(_text_json(e["key"]), F.lit(":"), shown(e)))
+    new = F.array(*[F.concat(F.lit(f'"{name}":'), _text_json(value)) for name, value in replaced.items()])
+    return F.concat(F.lit("{"), F.array_join(F.concat(new, others), ","), F.lit("}"))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> None:

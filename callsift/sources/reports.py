@@ -31,7 +31,8 @@ def report_extract(df: DataFrame) -> DataFrame:
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    judge_report(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    judge_report(df).write.mode("overwrite").options(header=True, escape='"', **blanks).csv(path)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
@@ -47,7 +48,9 @@ def long_metrics(metrics: DataFrame, run: str, params: dict[str, str]) -> DataFr
 
 
 def log_run_metrics(metrics: DataFrame, run: str, params: dict[str, str], path: str) -> None:
-    long_metrics(metrics, run, params).write.mode("append").parquet(path)
+    """Write the metrics of one run into its own part of the table; running again under one id replaces that part."""
+    rows = long_metrics(metrics, run, params)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
 
 
 def eval_table(df: DataFrame) -> DataFrame:

@@ -14,26 +14,41 @@ def label_counts(answers: DataFrame, label: str = "label") -> DataFrame:
     return answers.groupBy(label).agg(F.count("*").alias("calls"))
 
 
-def stream_fraud_counter(answers: DataFrame, table: str, checkpoint: str, label: str = "label") -> StreamingQuery:
-    """Keep a parquet table of the running counts; handles what has arrived and stops.
+AVAILABLE_NOW = {"availableNow": True}
 
-    Each batch replaces the small table as a whole, so a repeated batch changes nothing.
+
+def stream_fraud_counter(
+    answers: DataFrame, table: str, checkpoint: str, label: str = "label", trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the running counts under `table`; by default handles what has arrived and stops.
+
+    Each batch writes a folder of its own, which current_counts() finds once it is complete. A repeated batch writes its
+    folder again with the same rows, and readers never meet an empty table.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(table)
+    def publish(batch: DataFrame, number: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{table}/batch={number:012d}")
 
     return (
         label_counts(answers, label)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(replace)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .foreachBatch(publish)
         .start()
     )
 
 
-def stream_curate_rows(docs: DataFrame, target: str, checkpoint: str, text: str = "text") -> StreamingQuery:
+def current_counts(spark: SparkSession, table: str) -> DataFrame:
+    """The counts of the newest complete batch."""
+    marks = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(table)
+    newest = marks.agg(F.max(F.regexp_extract("path", r"/batch=(\d+)/", 1))).first()[0]
+    return spark.read.parquet(f"{table}/batch={newest}")
+
+
+def stream_curate_rows(
+    docs: DataFrame, target: str, checkpoint: str, text: str = "text", trigger: dict | None = None
+) -> StreamingQuery:
     """Repair, mask and length-filter arriving documents into a parquet data set; no state."""
     return (
         clean_rows(docs, text)
@@ -41,7 +56,7 @@ def stream_curate_rows(docs: DataFrame, target: str, checkpoint: str, text: str
         .format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 

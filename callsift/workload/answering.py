@@ -168,7 +168,7 @@ def evaluate_modes(spark: SparkSession, folder: str) -> DataFrame:
 
 def judge_flow(spark: SparkSession, folder: str) -> DataFrame:
     rows = fr.pairs(spark, folder)
-    return ev.judge(rows, _word_model, _strict_judge, ["input", "output"]).drop("error", "id")
+    return ev.judge(rows, _word_model, _strict_judge, ["id"]).drop("error")
 
 
 def infer(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,7 +280,8 @@ def log_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     found = metrics.run_metrics(fr.scored(spark, folder))
     for run in ("first", "second"):
         reports.log_run_metrics(found, run, {"evaluation_mode": run}, path)
-    logged = spark.read.parquet(path)
+    reports.log_run_metrics(found, "second", {"evaluation_mode": "second"}, path)  # again under one id: changes nothing
+    logged = spark.read.schema("params map<string,string>, metric string, value double, run string").parquet(path)
     return logged.select("run", F.col("params")["evaluation_mode"].alias("mode"), "metric", F.round("value", 6).alias("value"))
 
 
@@ -304,7 +305,7 @@ def stream_fraud_counter(spark: SparkSession, folder: str) -> DataFrame:
     labelled = events.select(an.parse_result_tag(F.coalesce(said, "event_type")).alias("label"))
     table = fresh_path(spark, "counts")
     live.stream_fraud_counter(labelled, table, fresh_path(spark, "counts-state")).awaitTermination()
-    return spark.read.parquet(table)
+    return live.current_counts(spark, table)
 
 
 def stream_curate_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -448,7 +449,7 @@ SQL = {
     "log_run_metrics": f"""{_SCORED}, one AS (SELECT *, 1 AS g FROM scored), {report_sql('one', 'g')},
   found AS ({run_metrics_sql('g')}), long AS (UNPIVOT (SELECT * EXCLUDE (g) FROM found) ON * INTO NAME metric VALUE value)
   SELECT run, run AS mode, metric, value FROM long, (SELECT unnest(['first', 'second']) AS run)""",
-    "judge_flow": f"{_PAIRS} SELECT output AS true_label, p AS model_prediction, CASE WHEN p = output THEN 'PASS' ELSE 'FAIL' END "
+    "judge_flow": f"{_PAIRS} SELECT row_number() OVER (ORDER BY id) AS id, output AS true_label, p AS model_prediction, CASE WHEN p = output THEN 'PASS' ELSE 'FAIL' END "
     f"AS judge_score, 'Result: ' || p AS model_output FROM (SELECT *, {_SAID.format(x='input')} AS p FROM pairs)",
     "infer": f"SELECT doc_id, CASE WHEN lang <> 'es' THEN CASE WHEN n % 2 = 1 THEN 'fraud' ELSE 'legit' END END AS label, "
     "CASE WHEN lang <> 'es' THEN 1.0::DOUBLE END AS confidence, CASE WHEN lang <> 'es' THEN n::INTEGER END AS prompt_length, "

@@ -182,7 +182,7 @@ def add_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def add_id_by_position(spark: SparkSession, folder: str) -> DataFrame:
-    return ids.add_id(fr.table(spark, folder, "documents").select("doc_id")).select("id")
+    return ids.add_id(fr.table(spark, folder, "documents").select("doc_id"))
 
 
 def position_fallback_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -306,7 +306,7 @@ SQL = {
     f"count_if(length({fr.strip_sql('t')}) < 50) AS s, count(DISTINCT CASE WHEN length({fr.strip_sql('t')}) >= 50 THEN md5(t) END) AS k "
     f"FROM (SELECT {_CLEAN} AS t FROM documents))",
     "add_id": "SELECT doc_id, printf('FRAUD_data-%010d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents",
-    "add_id_by_position": "SELECT printf('FRAUD_data-%010d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents",
+    "add_id_by_position": "SELECT doc_id, printf('FRAUD_data-%010d', row_number() OVER (ORDER BY doc_id) - 1) AS id FROM documents",
     "position_fallback_id": "SELECT doc_id, coalesce(CASE WHEN lang = 'de' THEN 'call-' || doc_id END, "
     "CASE WHEN lang <> 'en' THEN 'row-' || doc_id END, printf('CALL_%04d', row_number() OVER (ORDER BY doc_id) - 1)) AS call_id "
     "FROM documents",

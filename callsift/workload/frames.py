@@ -14,7 +14,6 @@ from callsift.functions import draws
 from callsift.functions.answers import parse_contains
 from callsift.functions.text import WHITESPACE
 from callsift.operators.noise import inject_noise
-from callsift.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,8 +21,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents over all cores, also when the file has one row group."""
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 # --- SQL helpers --------------------------------------------------------------------------------

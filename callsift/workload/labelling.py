@@ -330,7 +330,7 @@ SQL = {
     "count_if(label = 'fraud') > 0 AND count_if(label = 'legitimate') > 0 AND count_if(label = 'fraud') / count(*) "
     "BETWEEN 0.05 AND 0.95 AS passed FROM gold",
     "seeded_split_exact": f"{_SPLIT} SELECT id, input, output, split FROM splitted",
-    "prepare_pairs": f"{_PAIRS}, {_split_sql('pairs', chr(40) + 'input || chr(58) || output' + chr(41), 'input, output')} "
+    "prepare_pairs": f"{_PAIRS}, {_split_sql('pairs', chr(40) + 'length(input) || chr(58) || input || length(output) || chr(58) || output' + chr(41), 'input, output')} "
     "SELECT input, output, split FROM splitted",
     "split_sizes": f"{_SPLIT} SELECT split, count(*) AS rows FROM splitted GROUP BY split",
     "seeded_split_hash": f"{_PAIRS} SELECT id, CASE WHEN {_U} < 0.7::DOUBLE THEN 'train' WHEN {_U} < 0.7::DOUBLE + 0.15::DOUBLE "

@@ -20,7 +20,7 @@ def rows_of(frame):
 def test_number_by_key_over_many_ranges(spark):
     keys = random.Random(1).sample(range(10**6), 2000)
     frame = spark.createDataFrame([(k, f"t{k % 7}") for k in keys], "k int, t string").repartition(5)
-    got = ids.number_by_key(frame, ["t", "k"], rows_per_bucket=50)
+    got = ids.number_by_key(frame, ["t", "k"], partitions=40)
     want = {k: n for n, (t, k) in enumerate(sorted((f"t{k % 7}", k) for k in keys))}
     assert {r.k: r.row_id for r in got.collect()} == want
 
