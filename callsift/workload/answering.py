@@ -172,8 +172,10 @@ def judge_flow(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def infer(spark: SparkSession, folder: str) -> DataFrame:
-    rows = fr.documents(spark, folder).select("doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("text"))
-    found = ev.infer(rows, _word_model)
+    """All documents, and beside each Spanish one a row without text."""
+    docs = fr.documents(spark, folder)
+    bare = docs.where("lang = 'es'").select((-F.col("doc_id") - 1).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    found = ev.infer(docs.select("doc_id", "text").unionByName(bare), _word_model)
     return found.select("doc_id", "label", "confidence", "prompt_length", "error")
 
 
@@ -186,11 +188,11 @@ def generate_flow(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _call_lines(spark: SparkSession, folder: str) -> str:
-    """Documents as JSON lines: French ones cut off (bad JSON), German ones followed by a blank line."""
+    """Documents as JSON lines: French ones also cut off (bad JSON), German ones followed by a blank line."""
     rows = fr.documents(spark, folder)
     line = F.to_json(F.struct(F.format_string("doc-%05d", "doc_id").alias("call_id"), "text"))
     value = (
-        F.when(F.col("lang") == "fr", F.expr("substr(line, 1, length(line) - 1)"))
+        F.when(F.col("lang") == "fr", F.expr("concat(line, '\n', substr(line, 1, length(line) - 1))"))
         .when(F.col("lang") == "de", F.concat("line", F.lit("\n   ")))
         .otherwise(F.col("line"))
     )
@@ -451,17 +453,16 @@ SQL = {
   SELECT run, run AS mode, metric, value FROM long, (SELECT unnest(['first', 'second']) AS run)""",
     "judge_flow": f"{_PAIRS} SELECT row_number() OVER (ORDER BY id) AS id, output AS true_label, p AS model_prediction, CASE WHEN p = output THEN 'PASS' ELSE 'FAIL' END "
     f"AS judge_score, 'Result: ' || p AS model_output FROM (SELECT *, {_SAID.format(x='input')} AS p FROM pairs)",
-    "infer": f"SELECT doc_id, CASE WHEN lang <> 'es' THEN CASE WHEN n % 2 = 1 THEN 'fraud' ELSE 'legit' END END AS label, "
-    "CASE WHEN lang <> 'es' THEN 1.0::DOUBLE END AS confidence, CASE WHEN lang <> 'es' THEN n::INTEGER END AS prompt_length, "
-    f"CASE WHEN lang = 'es' THEN {fr.lit(V.BLANK_INPUT_ERROR)} END AS error "
-    f"FROM (SELECT *, length({fr.lit(V.INFERENCE_HEAD)} || text) AS n FROM documents)",
+    "infer": f"SELECT doc_id, CASE WHEN n % 2 = 1 THEN 'fraud' ELSE 'legit' END AS label, 1.0::DOUBLE AS confidence, "
+    f"n::INTEGER AS prompt_length, NULL AS error FROM (SELECT *, length({fr.lit(V.INFERENCE_HEAD)} || text) AS n FROM documents) "
+    f"UNION ALL SELECT -doc_id - 1, NULL, NULL, NULL, {fr.lit(V.BLANK_INPUT_ERROR)} FROM documents WHERE lang = 'es'",
     "generate_flow": f"WITH planned AS ({_plan_sql()}) SELECT id, prompt AS text, label, s::INTEGER AS score, 0 AS attempt "
     f"FROM (SELECT *, (length(prompt) + {_QUALITY_LENGTH}) % 6 AS s FROM planned) WHERE s >= 4",
-    "read_jsonl_lenient": f"SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents WHERE lang <> 'fr'",
+    "read_jsonl_lenient": f"SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents",
     "read_jsonl_lenient_bad": "SELECT (length(line) - 1)::INTEGER AS length, md5(substr(line, 1, length(line) - 1)) AS digest FROM (SELECT lang, "
     "'{\"call_id\":\"' || printf('doc-%05d', doc_id) || '\",\"text\":' || to_json(text)::VARCHAR || '}' AS line FROM documents) "
     "WHERE lang = 'fr'",
-    "validate_jsonl": "SELECT count(*) AS total, count_if(lang = 'fr') AS bad_json, 0::BIGINT AS missing_key FROM documents",
+    "validate_jsonl": "SELECT count(*) + count_if(lang = 'fr') AS total, count_if(lang = 'fr') AS bad_json, 0::BIGINT AS missing_key FROM documents",
     "read_jsonl_strict": f"{_NOISY} SELECT call_id, text, (SELECT count(*) FROM noisy) AS records FROM noisy",
     "read_jsonl_plain": f"{_NOISY} SELECT * FROM noisy",
     "read_documents": f"{_NOISY} SELECT *, true AS named FROM noisy",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
@@ -75,18 +75,26 @@ def repair_unicode(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.length("broken").alias("broken_length"), tx.repair_unicode(F.col("broken")).alias("text"))
 
 
+def _other_id() -> Column:
+    """Id of a row that stands beside a real one."""
+    return (-F.col("doc_id") - 1).alias("doc_id")
+
+
 def flatten_transcript(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of a document as nested turns, as flat text, without speakers, or as broken JSON, by language."""
+    """Lines of a document as nested turns, as flat text or without speakers, by language; beside each, broken JSON."""
     lines = F.split("text", "\n")
     turns = F.transform(lines, lambda x: F.struct(F.col("source").alias("speaker"), x.alias("text")))
     lone = F.transform(lines, lambda x: F.struct(x.alias("text")))
     nested = (
         F.when(F.col("lang") == "en", F.to_json(F.struct(turns.alias("transcript"))))
         .when(F.col("lang") == "fr", F.to_json(F.struct(lone.alias("transcript"))))
-        .when(F.col("lang") == "de", F.concat(F.lit('{"transcript": '), "text"))
+        .when(F.col("lang") == "de", F.to_json(F.struct(turns.alias("transcript"))))
     )
     flat = F.when(F.col("lang") == "es", F.col("text"))
-    return docs(spark, folder).select("doc_id", tx.flatten_transcript(flat, nested).alias("text"))
+    whole = docs(spark, folder).select("doc_id", flat.alias("flat"), nested.alias("nested"))
+    half = whole.select(_other_id(), F.lit(None).cast("string").alias("flat"), F.concat("nested", F.lit(" and more")).alias("nested"))
+    rows = whole.unionByName(half)
+    return rows.select("doc_id", tx.flatten_transcript(F.col("flat"), F.col("nested")).alias("text"))
 
 
 def flatten_turns(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,14 +105,17 @@ def flatten_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gappy(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Documents whose Spanish texts are empty, German ones white space and French ones null."""
-    text = (
-        F.when(F.col("lang") == "es", "").when(F.col("lang") == "de", "  \n").when(F.col("lang") == "en", F.col("text"))
-    )
-    return docs(spark, folder).select("doc_id", text.alias(name))
+    """All documents; beside Spanish ones an empty text, beside German ones white space, beside French ones null."""
+    rows = docs(spark, folder)
+    gap = F.when(F.col("lang") == "es", "").when(F.col("lang") == "de", "  \n")
+    gaps = rows.where("lang <> 'en'").select(_other_id(), gap.alias(name))
+    return rows.select("doc_id", F.col("text").alias(name)).unionByName(gaps)
 
 
-_GAPPY = "CASE lang WHEN 'es' THEN '' WHEN 'de' THEN '  ' || chr(10) WHEN 'en' THEN text END"
+_GAPPY = (
+    "(SELECT doc_id, text AS x FROM documents UNION ALL SELECT -doc_id - 1, CASE lang WHEN 'es' THEN '' WHEN 'de' THEN '  ' || chr(10) END "
+    "FROM documents WHERE lang <> 'en')"
+)
 
 
 def drop_empty_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,15 +283,15 @@ SQL = {
     "break_umlauts": f"SELECT doc_id, {fr.replace_sql('text', V.BROKEN_UMLAUTS)} AS text FROM documents",
     "repair_unicode": f"SELECT doc_id, length(b)::INTEGER AS broken_length, {fr.replace_sql('b', tx.broken_pairs())} AS text "
     f"FROM (SELECT doc_id, {fr.replace_sql('text', _LATIN)} AS b FROM documents)",
-    "flatten_transcript": "SELECT doc_id, CASE lang "
+    "flatten_transcript": "SELECT -doc_id - 1 AS doc_id, '' AS text FROM documents UNION ALL SELECT doc_id, CASE lang "
     "WHEN 'en' THEN array_to_string([source || ': ' || x FOR x IN string_split(text, chr(10))], chr(10)) "
     "WHEN 'fr' THEN array_to_string(['Unbekannt: ' || x FOR x IN string_split(text, chr(10))], chr(10)) "
-    "WHEN 'es' THEN text ELSE '' END AS text FROM documents",
+    "WHEN 'es' THEN text ELSE array_to_string([source || ': ' || x FOR x IN string_split(text, chr(10))], chr(10)) END FROM documents",
     "flatten_turns": "SELECT conv_id, turn, role || ': ' || text AS text FROM conversations",
-    "drop_empty_text": f"SELECT doc_id, {_GAPPY} AS text FROM documents WHERE length({_GAPPY}) > 0",
-    "drop_empty_input": f"SELECT doc_id, {_GAPPY} AS input FROM documents WHERE coalesce({_GAPPY}, '') <> ''",
-    "reject_blank_input": f"SELECT doc_id, {_GAPPY} AS text, CASE WHEN coalesce({fr.strip_sql(_GAPPY)}, '') = '' "
-    f"THEN {fr.lit(V.BLANK_INPUT_ERROR)} END AS error FROM documents",
+    "drop_empty_text": f"SELECT doc_id, x AS text FROM {_GAPPY} WHERE length(x) > 0",
+    "drop_empty_input": f"SELECT doc_id, x AS input FROM {_GAPPY} WHERE coalesce(x, '') <> ''",
+    "reject_blank_input": f"SELECT doc_id, x AS text, CASE WHEN coalesce({fr.strip_sql('x')}, '') = '' "
+    f"THEN {fr.lit(V.BLANK_INPUT_ERROR)} END AS error FROM {_GAPPY}",
     "inject_noise": f"{_NOISY} SELECT * FROM noisy",
     "noise_stats": f"{_NOISY} SELECT branch, count(*) AS calls FROM branched GROUP BY branch",
     "noise_presence_gate": f"{_NOISY} SELECT bool_or(contains(call_id, '_DUP')) AS has_duplicates, "
