@@ -120,13 +120,13 @@ def unwrap_guarded(raw: Column) -> Column:
 def strip_fence(text: Column, multiline: bool = True) -> Column:
     """Drop Markdown code fences at line starts and ends, or only at the ends of the whole text."""
     flags = "(?mdU)" if multiline else "(?dU)"
-    bare = F.regexp_replace(text, flags + r"^```(?:json)?\s*|\s*```$", "")
+    bare = F.regexp_replace(text, flags + V.FENCE, "")
     return F.when(_has(text, "```"), bare).otherwise(text)
 
 
 def double_bad_backslashes(text: Column) -> Column:
     """Double every backslash that does not start a JSON escape."""
-    doubled = F.regexp_replace(text, r'\\(?!["\\/bfnrt]|u[0-9a-fA-F]{4})', r"\\\\")
+    doubled = F.regexp_replace(text, V.BAD_BACKSLASH, r"\\\\")
     return F.when(_has(text, "\\"), doubled).otherwise(text)
 
 

@@ -67,9 +67,9 @@ def messages_worker(text: Column) -> Column:
 
 def messages_judge(text: Column, gold: Column, answer: Column) -> Column:
     question = F.concat(
-        F.lit("Transkript: "), text,
-        F.lit("\nErwartetes Label (Ground Truth): "), gold,
-        F.lit("\nKI-Modell Antwort:\n"), answer,
+        F.lit(V.JUDGE_CALL), text,
+        F.lit("\n" + V.JUDGE_GOLD), gold,
+        F.lit("\n" + V.JUDGE_ANSWER + "\n"), answer,
     )
     return F.array(message("system", V.JUDGE_SYSTEM), message("user", question))
 

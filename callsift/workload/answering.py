@@ -129,7 +129,7 @@ def _strict_judge():
     def ask(prompts: Sequence) -> list[str]:
         found = []
         for messages in prompts:
-            gold, answer = messages[-1]["content"].rsplit("\nErwartetes Label (Ground Truth): ", 1)[1].split("\n", 1)
+            gold, answer = messages[-1]["content"].rsplit("\n" + V.JUDGE_GOLD, 1)[1].split("\n", 1)
             found.append("Score: PASS" if f"Result: {gold}" in answer else "Score: FAIL\nBegründung: anders")
         return found
 
@@ -425,8 +425,8 @@ SQL = {
     "messages_worker": _chat_sql(V.WORKER_SYSTEM, V.WORKER_EXAMPLES, "input"),
     "messages_judge": _chat_sql(
         V.JUDGE_SYSTEM, [],
-        "'Transkript: ' || input || chr(10) || 'Erwartetes Label (Ground Truth): ' || output || chr(10) || "
-        "'KI-Modell Antwort:' || chr(10) || upper(output)",
+        f"{fr.lit(V.JUDGE_CALL)} || input || chr(10) || {fr.lit(V.JUDGE_GOLD)} || output || chr(10) || "
+        f"{fr.lit(V.JUDGE_ANSWER)} || chr(10) || upper(output)",
     ),
     "is_fraud_by_parity": "SELECT doc_id, CASE WHEN doc_id % 2 <> 0 THEN 'fraud' ELSE 'legitimate' END AS label FROM documents",
     "prompt_plan": _plan_sql(),

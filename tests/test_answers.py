@@ -44,7 +44,7 @@ def test_parse_binary_reads_the_last_response(spark):
 
 
 def test_parse_with_confidence(spark):
-    values = ["The call is fraud.", "This seems legit.", "FRAUD_DETECTED", "", "   ", "I am not sure about this call.", None]
+    values = ["clearly fraud, hang up", "all legit here", "label:FRAUD!", "", " \t", "hard to say", None]
     got = [tuple(r) for r in evaluate(spark, an.parse_with_confidence, values)]
     assert got == [("fraud", 1.0), ("legit", 1.0), ("fraud", 1.0)] + [("unknown", 0.0)] * 4
 

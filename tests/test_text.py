@@ -11,15 +11,15 @@ def evaluate(spark, build, values, kind="string"):
 
 
 MASKED = [
-    ("Meine Kreditkartennummer lautet 4532-8921-1029-4411 mit CVV 892.",
+    (V.PII_SAMPLES[0],
      "Meine Kreditkartennummer lautet [KREDITKARTE_MASKIERT] mit CVV 892."),
-    ("Sie erreichen mich unter max.mustermann@example.de oder Mobil: +49 171 1234567.",
+    (V.PII_SAMPLES[1],
      "Sie erreichen mich unter [EMAIL_MASKIERT] oder Mobil: +49 171 1234567."),
-    ("Meine IBAN lautet DE89 3704 0044 0532 0130 00, Inhaber ist Thomas Müller.",
+    (V.PII_SAMPLES[2],
      "Meine IBAN lautet [IBAN_MASKIERT], Inhaber ist Thomas Müller."),
-    ("Ich wohne in der Hauptstraße 45, 10115 Berlin. Geburtsdatum ist der 14.05.1982.",
+    (V.PII_SAMPLES[3],
      "Ich wohne in [ADRESSE_MASKIERT]. Geburtsdatum ist der 14.05.1982."),
-    ("Meine Sozialversicherungsnummer ist 12 140582 M 043.", "Meine Sozialversicherungsnummer ist 12 140582 M 043."),
+    (V.PII_SAMPLES[4], V.PII_SAMPLES[4]),
     ("4532-8921-1029-4411-7777", "[KREDITKARTE_MASKIERT]-7777"),
     ("12345678901234567", "12345678901234567"),
     ("Ruf 0171 1234567 an", "Ruf [HANDYNUMMER_MASKIERT] an"),
