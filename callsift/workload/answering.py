@@ -137,12 +137,13 @@ def _strict_judge():
 
 
 def _writer_model():
-    """Writes the prompt back as a JSON transcript."""
+    """Writes the prompt back as a JSON transcript, with a tail that depends on the temperature, so that a retry differs."""
 
     def ask(requests: Sequence) -> list[str]:
         import json
 
-        return ["```json\n" + json.dumps({"text": r["messages"][-1]["content"]}) + "\n```" for r in requests]
+        tail = lambda r: "|" + "~" * (round(r["temperature"] * 100) % 6)
+        return ["```json\n" + json.dumps({"text": r["messages"][-1]["content"] + tail(r)}) + "\n```" for r in requests]
 
     return ask
 
@@ -456,8 +457,13 @@ SQL = {
     "infer": f"SELECT doc_id, CASE WHEN n % 2 = 1 THEN 'fraud' ELSE 'legit' END AS label, 1.0::DOUBLE AS confidence, "
     f"n::INTEGER AS prompt_length, NULL AS error FROM (SELECT *, length({fr.lit(V.INFERENCE_HEAD)} || text) AS n FROM documents) "
     f"UNION ALL SELECT -doc_id - 1, NULL, NULL, NULL, {fr.lit(V.BLANK_INPUT_ERROR)} FROM documents WHERE lang = 'es'",
-    "generate_flow": f"WITH planned AS ({_plan_sql()}) SELECT id, prompt AS text, label, s::INTEGER AS score, 0 AS attempt "
-    f"FROM (SELECT *, (length(prompt) + {_QUALITY_LENGTH}) % 6 AS s FROM planned) WHERE s >= 4",
+    "generate_flow": f"""WITH planned AS ({_plan_sql()}), tries AS (
+      SELECT id, label, prompt, attempt, round(0.7::DOUBLE + {fr.uniform_sql('d')} * 0.25::DOUBLE, 2) AS warmth
+      FROM (SELECT *, {fr.digest_sql("(id || ':' || attempt)")} AS d FROM planned, (SELECT unnest([0, 1, 2])::INTEGER AS attempt))),
+    said AS (SELECT id, label, attempt, prompt || '|' || repeat('~', round(warmth * 100)::INTEGER % 6) AS text FROM tries),
+    scored AS (SELECT *, (length(text) + {_QUALITY_LENGTH}) % 6 AS s FROM said),
+    taken AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY attempt) AS place FROM scored WHERE s >= 4)
+    SELECT id, text, label, s::INTEGER AS score, attempt FROM taken WHERE place = 1""",
     "read_jsonl_lenient": f"SELECT printf('doc-%05d', doc_id) AS call_id, text FROM documents",
     "read_jsonl_lenient_bad": "SELECT (length(line) - 1)::INTEGER AS length, md5(substr(line, 1, length(line) - 1)) AS digest FROM (SELECT lang, "
     "'{\"call_id\":\"' || printf('doc-%05d', doc_id) || '\",\"text\":' || to_json(text)::VARCHAR || '}' AS line FROM documents) "
