@@ -61,6 +61,6 @@ def stream_curate_rows(
     )
 
 
-def arriving(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
-    """A stream over parquet files that arrive in a folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def arriving(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stream over the parquet files that arrive in a folder, or in what a pattern such as `in/{events}.parquet` matches."""
+    return spark.readStream.schema(schema).parquet(path)

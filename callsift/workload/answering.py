@@ -303,7 +303,7 @@ _DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING"
 
 def stream_fraud_counter(spark: SparkSession, folder: str) -> DataFrame:
     """Events as arriving calls: errors are answered `fraud`, purchases `legitimate`, the rest not at all."""
-    events = live.arriving(spark, folder, _EVENTS, "events.parquet")
+    events = live.arriving(spark, f"{folder}/{{events}}.parquet", _EVENTS)
     said = F.when(F.col("event_type") == "error", "Result: fraud").when(F.col("event_type") == "purchase", "Result: legitimate")
     labelled = events.select(an.parse_result_tag(F.coalesce(said, "event_type")).alias("label"))
     table = fresh_path(spark, "counts")
@@ -313,7 +313,7 @@ def stream_fraud_counter(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_curate_rows(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "stream")
-    docs = live.arriving(spark, folder, _DOCUMENTS, "documents.parquet").select("doc_id", "text")
+    docs = live.arriving(spark, f"{folder}/{{documents}}.parquet", _DOCUMENTS).select("doc_id", "text")
     live.stream_curate_rows(docs, target, fresh_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(target)
 
