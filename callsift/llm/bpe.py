@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
+from array import array
 
-import ahocorasick
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from callsift.llm.base import map_columns, portions
 
 #: Characters whose pieces are found at once, and entries that a worker's memories may hold before they start anew.
 CHUNK = 1_000_000
-MEMORY = 400_000
+MEMORY = 600_000
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -61,17 +62,16 @@ class Codec:
         self.joined = {(rank[a], rank[b]): rank[a + b] for a, b in pairs}
         self.ids = [model["vocab"][name] for name in names]
         self.known_pairs: dict[int, bool] = {}
-        self.matches = ahocorasick.Automaton()
-        for i, name in enumerate(names):
-            if i < 256 or self.compatible(self.left[i], self.right[i], i):  # else its own merges never make it
-                self.matches.add_word("".join(chr(letters[c]) for c in name), (i, len(name)))
-        self.matches.make_automaton()
+        # a token that its own merges never make is no candidate
+        usable = [i for i in range(len(names)) if i < 256 or self.compatible(self.left[i], self.right[i], i)]
+        self.build_automaton([(bytes(letters[c] for c in names[i]), i) for i in usable])
         self.tokens = {model["vocab"][name]: bytes(letters[c] for c in name) for name in model["vocab"] for _ in [0] if all(c in letters for c in name)}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens |= {i: content.encode() for content, i in self.special.items()}
         self.divider = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.classes = character_classes()
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def compatible(self, a: int, b: int, limit: int = 1 << 60) -> bool:
         """Whether b may follow a: no merge across their border comes before the merges that made them.
@@ -102,27 +102,74 @@ class Codec:
                     return True
                 b = half
 
-    def encode_piece(self, piece: str) -> list[int]:
-        """Ids of one piece: for every prefix the one last token that fits, then back from the end."""
-        data = piece.encode("utf-8").decode("latin-1")
-        last, size = [-1] * (len(data) + 1), [0] * (len(data) + 1)
-        known, compatible = self.known_pairs, self.compatible
-        for end, (token, n) in self.matches.iter(data):
-            if last[end + 1] < 0:
-                before = end + 1 - n
-                if before:
-                    key = last[before] << 20 | token
-                    fits = known.get(key)
+    def build_automaton(self, tokens: list[tuple[bytes, int]]) -> None:
+        """States are the beginnings of tokens. found[state]: (token, length) of all tokens that end there, longest first."""
+        self.step, own, depth = {}, [None], [0]
+        for data, token in tokens:
+            state = 0
+            for byte in data:
+                key = state << 8 | byte
+                if key not in self.step:
+                    self.step[key] = len(own)
+                    own.append(None)
+                    depth.append(depth[state] + 1)
+                state = self.step[key]
+            own[state] = token
+        self.back, self.found = [0] * len(own), [()] * len(own)
+        for key, state in sorted(self.step.items(), key=lambda x: depth[x[1]]):
+            above, byte = key >> 8, key & 255
+            if above:
+                at = self.back[above]
+                while at and at << 8 | byte not in self.step:
+                    at = self.back[at]
+                self.back[state] = self.step.get(at << 8 | byte, 0)
+            shorter = self.found[self.back[state]]
+            self.found[state] = shorter if own[state] is None else ((own[state], depth[state]), *shorter)
+
+    def follow(self, state: int, byte: int) -> int:
+        """The longest beginning of a token that ends here, remembered as a step of its own."""
+        at = state
+        while at and at << 8 | byte not in self.step:
+            at = self.back[at]
+        self.step[state << 8 | byte] = found = self.step.get(at << 8 | byte, 0)
+        return found
+
+    def learn(self, pieces: set[str]) -> None:
+        """Ids of new pieces: for every prefix the one last token that fits, then back from the end.
+
+        What holds for a prefix holds in every piece that begins with it, so pieces are taken in order and keep what they
+        share with the piece before.
+        """
+        step, found, known, ids = self.step, self.found, self.known_pairs, self.ids
+        states, last, size, before = [0], [-1], [0], b""
+        for data, piece in sorted((p.encode("utf-8"), p) for p in pieces):
+            same, most = 0, min(len(before), len(data))
+            while same < most and before[same] == data[same]:
+                same += 1
+            del states[same + 1 :], last[same + 1 :], size[same + 1 :]
+            state = states[-1]
+            for end in range(same, len(data)):
+                state = step[key] if (key := state << 8 | data[end]) in step else self.follow(state, data[end])
+                for token, n in found[state]:
+                    at = end + 1 - n
+                    if not at:
+                        break
+                    pair = last[at] << 20 | token
+                    fits = known.get(pair)
                     if fits is None:
-                        fits = known[key] = compatible(last[before], token)
-                    if not fits:
-                        continue
-                last[end + 1], size[end + 1] = token, n
-        found, at = [], len(data)
-        while at:
-            found.append(self.ids[last[at]])
-            at -= size[at]
-        return found[::-1]
+                        fits = known[pair] = self.compatible(last[at], token)
+                    if fits:
+                        break
+                states.append(state)
+                last.append(token)
+                size.append(n)
+            emitted, at = [], len(data)
+            while at:
+                emitted.append(ids[last[at]])
+                at -= size[at]
+            emitted.reverse()
+            self.pieces[piece] = array("I", emitted).tobytes()
+            before = data
 
     def cut(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
         """The joined texts, where pieces start in them, and the number of pieces before each text.
@@ -163,13 +210,17 @@ class Codec:
         joined, at, before = self.cut(texts)
         ends = [*at[1:].tolist(), len(joined)]
         pieces = [joined[a:b] for a, b in zip(at.tolist(), ends)]
-        known = self.pieces
-        if len(known) > MEMORY:
-            known.clear()
-        if len(self.known_pairs) > 4 * MEMORY:
+        if len(self.pieces) > MEMORY:  # what is still in use comes back from the older half
+            self.older, self.pieces = self.pieces, {}
+        if len(self.known_pairs) > 2 * MEMORY:
             self.known_pairs.clear()
-        for piece in set(pieces) - known.keys():
-            known[piece] = np.array(self.encode_piece(piece), "<u4").tobytes()
+        known, older = self.pieces, self.older
+        new = set(pieces).difference(known)
+        if older:
+            back = new & older.keys()
+            known.update((x, older[x]) for x in back)
+            new -= back
+        self.learn(new)
         found = [known[x] for x in pieces]
         return [b"".join(found[a:b]) for a, b in zip(before.tolist(), before[1:].tolist())]
 
@@ -211,6 +262,7 @@ def codec(path: str) -> Codec:
     """One codec for each file and worker process."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
+        gc.freeze()  # the tables stay; the collector need not look through them again and again
     return _CODECS[path]
 
 
