@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callsift.functions.once import pin
 from callsift.session import settle
 
 #: What Spark's description of a JSON value begins with, for each type name of a schema.
@@ -157,9 +158,10 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
         .when(F.col("result_turn") < F.col("turn"), "early_result")
         .otherwise("linked")
     )
-    value = json_value(F.col("arguments"))
-    lone = F.col("n_calls").isNull()
-    rows = linked.select(
+    # parsed once, in a column that the checks and the writer read
+    parsed = pin(linked.withColumnRenamed("arguments", "text"), "value", json_value(F.col("text")))
+    value, lone = F.col("value"), F.col("n_calls").isNull()
+    rows = parsed.select(
         F.coalesce("group", "_g").alias("group"),
         F.coalesce("call_id", "_c").alias("call_id"),
         "parent_id", "name", "turn",
@@ -172,4 +174,4 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
         status.alias("status"),
         F.when(~lone, F.to_json(F.struct(value.alias("arguments"), F.col("call_id").alias("id"), "name", F.col("content").alias("result")))).alias("json"),
     )
-    return places(rows, "group", ["depth", "turn", "result_turn", "call_id"])
+    return places(settle(rows, "linked"), "group", ["depth", "turn", "result_turn", "call_id"])
