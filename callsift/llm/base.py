@@ -43,6 +43,12 @@ def map_columns(df: DataFrame, make: Callable[[], Callable[[dict], dict | Iterat
     return df.mapInArrow(run, wanted)
 
 
+def rows_of(columns: dict[str, pa.Array], names: tuple[str, ...], at_once: int = 200) -> Iterator[tuple]:
+    """The rows of some columns, turned into Python values a few at a time."""
+    for start in range(0, len(columns[names[0]]), at_once):
+        yield from zip(*(columns[x].slice(start, at_once).to_pylist() for x in names))
+
+
 def portions(values: list, size: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive values whose lengths sum to about `size`; a longer value is a range of its own."""
     start, total = 0, 0

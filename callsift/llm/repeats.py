@@ -2,8 +2,8 @@
 
 Every window of `length` bytes is filed under the smallest hash of the short strings in it, so that equal windows are
 filed alike. Runs of neighbouring windows under one hash are a context. Contexts under a hash that occurs once cannot
-hold a repeat; contexts that are equal as a whole need one comparison of hashes. Only what is left, different contexts
-under one hash, goes to the transforms.
+hold a repeat; contexts that are equal as a whole need one comparison of hashes. What is left, different contexts under
+one hash, goes to the transforms; where one hash has very many of them, they are first filed again under other hashes.
 """
 
 from __future__ import annotations
@@ -15,23 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsift.llm.base import map_columns, utf8
+from callsift.llm.base import map_columns, rows_of, utf8
 from callsift.session import settle
 
 LENGTH = 100
 #: Bytes of the short strings whose smallest hash files a window.
 SEED = 24
-#: Contexts, in bytes: of a bucket that one task merges, of a shard in it, and of one hash before its windows are grouped one by one.
+#: Contexts, in bytes: of a bucket that one task merges, of a shard in it, and of one hash, filed twice, beyond which its windows
+#: are compared one by one.
 BUCKET, SHARD, HOT = 1 << 19, 1 << 17, 1 << 20
 #: Bits of the filter that spares the exact join most hashes without a repeat; fixed, so that its broadcast never grows.
 FILTER_BITS = 28
+#: Makes the hashes of the second filing differ from those of the first.
+SALT = 0x5851F42D4C957F2D
 
 _TABLE = np.random.default_rng(17).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = [pow(0x9E3779B97F4A7C15, 1 << i, 1 << 64) for i in range(6)]
 
 
-def seed_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Mixed polynomial hash of every `size`-byte string, by doubling."""
+def seed_hashes(data: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
+    """Mixed polynomial hash of every `size`-byte string, by doubling. Another salt gives another order."""
     power, width, done, total = _TABLE[data], 1, None, 0
     level = 0
     while True:
@@ -45,7 +48,7 @@ def seed_hashes(data: np.ndarray, size: int) -> np.ndarray:
             break
         power = power[:-width] * np.uint64(pow(_B[0], width, 1 << 64)) + power[width:]
         width, level = 2 * width, level + 1
-    done = done ^ (done >> np.uint64(32))
+    done = done ^ (done >> np.uint64(32)) ^ np.uint64(salt)
     done = done * np.uint64(0xD6E8FEB86659FD93)
     return done ^ (done >> np.uint64(29))
 
@@ -58,6 +61,15 @@ def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (size - width)], values[size - width :]) if size > width else values
 
 
+def filed_windows(data: bytes, length: int, seed: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The hash that each window of the data is filed under, and those that the data has short strings of at several places."""
+    hashes, width = seed_hashes(np.frombuffer(data, np.uint8), seed, salt), length - seed + 1
+    filed = sliding_minimum(hashes, width)
+    edge = np.zeros(width - 1, np.uint64)  # a place is the smallest of a window if no window over it has a larger minimum
+    chosen = np.sort(hashes[hashes == ~sliding_minimum(~np.concatenate([edge, filed, edge]), width)])
+    return filed, np.unique(chosen[1:][chosen[1:] == chosen[:-1]])
+
+
 def contexts(text: str | None, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     """hash, start, byte length and `twice` of each context of a text, and the text's bytes.
 
@@ -66,19 +78,29 @@ def contexts(text: str | None, length: int = LENGTH, seed: int = SEED) -> tuple[
     data = utf8(text)
     if len(data) < length:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), data
-    hashes, width = seed_hashes(np.frombuffer(data, np.uint8), seed), length - seed + 1
-    filed = sliding_minimum(hashes, width)
+    filed, again = filed_windows(data, length, seed)
     starts = np.flatnonzero(np.concatenate([[True], filed[1:] != filed[:-1]]))
     sizes = np.diff(np.append(starts, len(filed))) + length - 1
-    edge = np.zeros(width - 1, np.uint64)  # a place is the smallest of a window if no window over it has a larger minimum
-    chosen = np.sort(hashes[hashes == ~sliding_minimum(~np.concatenate([edge, filed, edge]), width)])
-    again = chosen[1:][chosen[1:] == chosen[:-1]]
-    found = filed[starts]
-    return found, starts, sizes, np.isin(found, again), data
-
-
-def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Transform (0: the string's end, else byte + 1) and suffix array of strings that each end in a mark of their own."""
+    return filed[starts], starts, sizes, np.isin(filed[starts], again), data
+
+
+def filed_again(data: bytes, wanted: list, length: int, seed: int, salt: int) -> tuple[np.ndarray, ...]:
+    """hash, start, byte length and `twice` of the parts of the wanted contexts (hash, at, n, twice) under other hashes too."""
+    filed, again = filed_windows(data, length, seed, salt)
+    wanted = sorted(wanted, key=lambda w: w["at"])
+    at, n = np.array([w["at"] for w in wanted]), np.array([w["n"] for w in wanted]) - length + 1
+    owner = np.repeat(np.arange(len(at)), n)
+    window = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + at[owner]
+    under = filed[window]
+    first = np.flatnonzero(np.concatenate([[True], (under[1:] != under[:-1]) | (owner[1:] != owner[:-1])]))
+    sizes = np.diff(np.append(first, len(owner))) + length - 1
+    old = np.array([w["hash"] for w in wanted], np.int64).view(np.uint64)[owner[first]]
+    twice = np.array([w["twice"] for w in wanted], bool)[owner[first]] & np.isin(under[first], again)
+    return old * np.uint64(0x9E3779B97F4A7C15) ^ under[first], window[first], sizes, twice
+
+
+def suffix_array(strings: list[bytes]) -> np.ndarray:
+    """Suffixes in order of strings that each end in a mark of their own, by doubling."""
     m = len(strings)
     sizes = np.array([len(s) for s in strings])
     ends = np.cumsum(sizes + 1) - 1
@@ -101,37 +123,65 @@ def shard_transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         width *= 2
         if new[-1] == n - 1:
             break
-    plain = np.where(inner, symbols - m + 1, 0)
-    before = plain[order - 1]  # what stands before a string's first byte is another string's end
-    before[(order == 0) | ~inner[order - 1]] = 0
-    return before.astype(np.uint16), order
+    return order
+
 
+def block_symbols(strings: list[bytes], depth: int) -> tuple[np.ndarray, int]:
+    """Rank of the `step` symbols from each place on (0: a string's end and what is behind it), and the step.
 
-def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], marks: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    The step is the largest of 4, 2 and 1 that divides `depth` and leaves ranks of 16 bits.
+    """
+    plain = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + 1
+    ends = np.cumsum([len(s) + 1 for s in strings]) - 1
+    plain[ends] = 0
+    left = np.repeat(ends, np.diff(np.append(-1, ends))) - np.arange(len(plain))
+    for step in (4, 2, 1):
+        if depth % step == 0:
+            packed = np.zeros(len(plain), np.int64)
+            for i in range(step):
+                packed = packed * 257
+                packed[: len(plain) - i] += np.where(left[: len(plain) - i] > i, plain[i:], 0)
+            used, ranks = np.unique(packed, return_inverse=True)
+            if len(used) <= 1 << 16:
+                return ranks.astype(np.uint16), step
+    raise AssertionError("one byte has at most 257 symbols")
+
+
+def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], tails: np.ndarray, tail_shard: np.ndarray, depth: int, step: int) -> tuple[np.ndarray, np.ndarray]:
     """Merged order of all suffixes by their first `depth` symbols, as (shard of each place, common prefix with the place before).
 
-    Interleave refinement: when places are in order by h symbols, dealing them stably by the symbol before each suffix
-    puts the suffixes one longer in order by h + 1 symbols. Only shard numbers move; each shard's own order is never
-    sorted again. A border between two places that first shows in round h means a common prefix of h - 1; prefixes of
-    `depth` or more stay without a border (common prefix = depth).
+    shards: for each suffix in the shard's order, the rank of the `step` symbols before it, and whether its string has so
+    many before it. tails, tail_shard: ranks and shards of the suffixes of under `step` symbols, which have no suffix
+    behind them, string by string.
+
+    Interleave refinement: when places are in order by h symbols, dealing them stably by the `step` symbols before each
+    suffix puts the suffixes that begin with those in order by h + step. Only shard numbers move; each shard's own order
+    is never sorted again. A border between two places that first shows in round r means a common prefix of at least
+    (r - 1) * step and under r * step symbols (the former is given); without a border it is `depth` or more.
     """
     symbols = np.concatenate([s for s, _ in shards])
-    source = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s) for s, _ in shards])
-    ends = np.repeat(np.arange(len(shards), dtype=np.uint16), marks)
-    n, m = len(symbols), int(sum(marks))
+    whole = np.concatenate([w for _, w in shards])
+    kind = np.uint8 if len(shards) <= 256 else np.uint16
+    source = np.repeat(np.arange(len(shards), dtype=kind), [len(s) for s, _ in shards])
+    tail_shard = tail_shard.astype(kind)
+    n, m = len(symbols), len(tails)
     block = np.zeros(n, np.int32)
     common = np.full(n, depth, np.int32)
     border = np.zeros(n, bool)
-    for h in range(1, depth + 1):
-        before = np.empty(n, np.uint16)
-        before[np.argsort(source, kind="stable")] = symbols
-        order = np.argsort(before, kind="stable")[m:]
-        moved = np.concatenate([ends, source[order]])
-        key, part = before[order], block[order]
+    for h in range(0, depth, step):
+        by_shard = np.argsort(source, kind="stable")
+        before, real = np.empty(n, np.uint16), np.empty(n, bool)
+        before[by_shard], real[by_shard] = symbols, whole
+        some = np.flatnonzero(real)
+        key = np.concatenate([tails, before[some]])
+        order = np.argsort(key, kind="stable")
+        moved = np.concatenate([tail_shard, source[some]])[order]
+        key = key[order]
+        part = np.concatenate([np.arange(-m, 0, dtype=np.int32), block[some]])[order]  # a tail is like no other suffix
         now = np.ones(n, bool)
-        now[m + 1 :] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+        now[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
         fresh = now & ~border
-        common[fresh] = h - 1
+        common[fresh] = h
         if not fresh.any() and np.array_equal(moved, source):
             break
         source, border = moved, now
@@ -148,11 +198,21 @@ def later_windows(strings: list[bytes], length: int = LENGTH, shard: int = SHARD
             size = 0
         groups[-1].append(s)
         size += len(s) + 1
-    shards = [shard_transform(g) for g in groups]
-    source, common = merge_transforms(shards, [len(g) for g in groups], length)
-    bases = np.cumsum([0, *(len(s) for s, _ in shards)])[:-1]
+    orders = [suffix_array(g) for g in groups]
+    bases = np.cumsum([0, *map(len, orders)])[:-1]
+    ranks, step = block_symbols(strings, length)
+    ends = np.cumsum([len(s) + 1 for s in strings]) - 1
+    begin = np.repeat(np.append(0, ends[:-1] + 1), [len(s) + 1 for s in strings])
+    shards = []
+    for order, base in zip(orders, bases):
+        at = order + base - step
+        shards.append((ranks[np.maximum(at, 0)], at >= begin[order + base]))
+    least = [max(len(s) + 1 - step, 0) for s in strings]
+    tails = np.concatenate([np.arange(e - len(s) + a, e + 1) for s, e, a in zip(strings, ends, least)])
+    tail_shard = np.searchsorted(bases, tails, side="right") - 1
+    source, common = merge_transforms(shards, ranks[tails], tail_shard, length, step)
     place = np.empty(len(source), np.int64)
-    place[np.argsort(source, kind="stable")] = np.concatenate([sa + b for (_, sa), b in zip(shards, bases)])
+    place[np.argsort(source, kind="stable")] = np.concatenate([sa + b for sa, b in zip(orders, bases)])
     sizes = np.array([len(s) for s in strings])
     firsts = np.cumsum(sizes + 1) - sizes - 1
     window = np.zeros(len(source), bool)
@@ -228,7 +288,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
 
         def work(columns):
             out = {x: [] for x in ("hash", "whole", "doc", "key", "at", "n", "twice")}
-            for doc, key, text in zip(columns["doc"].to_pylist(), columns["key"].to_pylist(), columns["text"].to_pylist()):
+            for doc, key, text in rows_of(columns, ("doc", "key", "text")):
                 found, at, n, twice, data = contexts(text, length, seed)
                 slot = found & np.uint64((1 << FILTER_BITS) - 1)
                 keep = np.flatnonzero(known[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & np.uint32(1))
@@ -249,48 +309,67 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
     all_rows = map_columns(docs.select("doc", "key", "text"), occurrences, f"hash long, whole long, {place}, twice boolean")
     rows = settle(all_rows.join(repeated, "hash"), "contexts")
     later, first = later_occurrences(rows, ["hash", "whole"])
-    sizes = first.groupBy("hash").agg(F.count("*").alias("different"), F.sum("n").alias("bytes"), F.max("twice").alias("twice")).where("different > 1 OR twice")
-    sizes = settle(sizes.select("hash", "bytes"), "sizes")
+    many = F.count("*").alias("different"), F.sum("n").alias("bytes"), F.max("twice").alias("twice")
+    sizes = settle(first.groupBy("hash").agg(*many).where("different > 1 OR twice").select("hash", "bytes"), "sizes")
     total = sizes.where(F.col("bytes") <= hot).agg(F.sum("bytes")).first()[0] or 0
     buckets = max(32, -(-total // bucket))
-    wanted = first.join(sizes, "hash").groupBy("doc", "key").agg(F.collect_list(F.struct("hash", "bytes", "at", "n")).alias("wanted"))
+    again = F.collect_list(F.struct("hash", "bytes", "at", "n", "twice")).alias("wanted")
+    wanted = settle(first.join(sizes, "hash").groupBy("doc", "key").agg(again), "wanted")
 
     def extract():
+        """The bytes of the contexts: as they are with their bucket, or filed again where their hash is hot."""
+
         def work(columns):
-            out = {x: [] for x in ("bucket", "hash", "doc", "key", "at", "n", "one", "two", "data")}
-            for doc, key, text, wanted in zip(*(columns[x].to_pylist() for x in ("doc", "key", "text", "wanted"))):
+            out = {x: [] for x in ("bucket", "hash", "whole", "doc", "key", "at", "n", "twice", "data")}
+            for doc, key, text, some in rows_of(columns, ("doc", "key", "text", "wanted")):
                 data = utf8(text)
-                for w in wanted:
-                    part, at = data[w["at"] : w["at"] + w["n"]], w["at"]
-                    if w["bytes"] <= hot:
-                        pieces = [(at, w["n"], part)]
-                    else:  # every window of its own
-                        pieces = [(at + i, length, part[i : i + length]) for i in range(w["n"] - length + 1)]
-                    for a, n, piece in pieces:
-                        mixed = (w["hash"] & ((1 << 64) - 1)) * 0x9E3779B97F4A7C15 >> 24 & 0xFFFFFFFF
-                        cold = w["bytes"] <= hot
-                        digest = None if cold else xxhash.xxh3_128_intdigest(piece)
-                        values = (mixed % buckets if cold else None, w["hash"], doc, key, a, n, *((None, None) if cold else ((digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))), piece if cold else None)
-                        for x, v in zip(out, values):
-                            out[x].append(v)
-                if len(out["doc"]) > 100_000:
+                rows = [(w["hash"] % buckets, None, None, w["at"], w["n"], None) for w in some if w["bytes"] <= hot]
+                hottest = [w for w in some if w["bytes"] > hot]
+                if hottest:
+                    found, at, n, twice = filed_again(data, hottest, length, seed, SALT)
+                    whole = np.array([xxhash.xxh3_64_intdigest(data[a : a + b]) for a, b in zip(at.tolist(), n.tolist())], np.uint64)
+                    rows += zip([None] * len(at), found.view(np.int64).tolist(), whole.view(np.int64).tolist(), at.tolist(), n.tolist(), twice.tolist())
+                for part, hashed, whole, at, n, twice in rows:
+                    for x, v in zip(out, (part, hashed, whole, doc, key, at, n, twice, data[at : at + n])):
+                        out[x].append(v)
+                if len(out["doc"]) > 20_000:
                     yield out
                     out = {x: [] for x in out}
             yield out
 
         return work
 
-    texts = docs.join(settle(wanted, "wanted"), ["doc", "key"]).select("doc", "key", "text", "wanted")
-    pieces = settle(map_columns(texts, extract, f"bucket int, hash long, {place}, one long, two long, data binary"), "pieces")
+    texts = docs.join(wanted, ["doc", "key"]).select("doc", "key", "text", "wanted")
+    parts = settle(map_columns(texts, extract, f"bucket int, hash long, whole long, {place}, twice boolean, data binary"), "parts")
+    cold = parts.where("bucket IS NOT NULL").select("bucket", *PLACE, "data")
+    refiled = parts.where("bucket IS NULL").drop("bucket")
+    same, first = later_occurrences(refiled.drop("data"), ["hash", "whole"])
+    sizes = settle(first.groupBy("hash").agg(*many).where("different > 1 OR twice").select("hash", "bytes"), "sizes")
+    left = settle(first.join(sizes, "hash").select("hash", "bytes", *PLACE), "left")
+    pieces = settle(refiled.select(*PLACE, "data").join(left, PLACE), "pieces")
+    spare = pieces.where(F.col("bytes") <= hot).select(F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"), *PLACE, "data")
+
+    def every_window():
+        def work(columns):
+            for doc, key, at, data in zip(*(columns[x].to_pylist() for x in (*PLACE, "data"))):
+                digests = [xxhash.xxh3_128_intdigest(data[i : i + length]) for i in range(len(data) - length + 1)]
+                size = len(digests)
+                yield {
+                    "one": [(x >> 64) - (1 << 63) for x in digests], "two": [(x & (1 << 64) - 1) - (1 << 63) for x in digests],
+                    "doc": [doc] * size, "key": [key] * size, "at": list(range(at, at + size)), "n": [length] * size,
+                }
+
+        return work
 
     def merge(table: pa.Table) -> pa.Table:
         rows = sorted(set(zip(*(table.column(x).to_pylist() for x in (*PLACE, "data")))))
         found = [(doc, key, at + a, n) for (doc, key, at, _), later in zip(rows, later_windows([r[3] for r in rows], length)) for a, n in runs(later, length)]
         return pa.table({x: pa.array([f[i] for f in found], t) for i, (x, t) in enumerate(zip((*PLACE, "n"), (pa.int64(), pa.int32(), pa.int32(), pa.int32())))})
 
-    merged = pieces.where("bucket IS NOT NULL").select("bucket", *PLACE, "data").groupBy("bucket").applyInArrow(merge, place)
-    single, _ = later_occurrences(pieces.where("bucket IS NULL").select("one", "two", *PLACE, "n"), ["one", "two"])
-    spans = later.unionByName(merged).unionByName(single)
+    merged = cold.unionByName(spare).groupBy("bucket").applyInArrow(merge, place)
+    windows = settle(map_columns(pieces.where(F.col("bytes") > hot).select(*PLACE, "data"), every_window, f"one long, two long, {place}"), "windows")
+    single, _ = later_occurrences(windows, ["one", "two"])
+    spans = later.unionByName(same).unionByName(merged).unionByName(single)
     return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
 
 
