@@ -70,23 +70,20 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def document_lines(text: str | None) -> list[tuple[int, int]]:
-    """Hash of each distinct normalised line with the hash of the longest other line (0: there is none).
+    """Hash of each distinct normalised line, each with the hash of the whole normalised text.
 
-    The other line tells documents apart: copies of one document, whole or with an edit elsewhere, share it and count
-    as one document, so that many copies of a clean document do not turn its lines into boilerplate.
+    The whole text tells documents apart: copies of one document count as one, so that many copies of a clean document do
+    not turn its lines into boilerplate. Documents that differ in any line count each.
     """
-    lines = {normal_line(x) for x in (text or "").split("\n")} - {""}
-    longest = sorted(lines, key=lambda x: (-len(x), utf8(x)))[:2]
-    code = {x: xxhash.xxh64_intdigest(utf8(x)) >> 1 for x in longest}
-    return [
-        (xxhash.xxh64_intdigest(utf8(x)) >> 1, next((code[y] for y in longest if y != x), 0)) for x in lines
-    ]
+    lines = [x for x in map(normal_line, (text or "").split("\n")) if x]
+    whole = xxhash.xxh64_intdigest(utf8("\n".join(lines))) >> 1
+    return [(xxhash.xxh64_intdigest(utf8(x)) >> 1, whole) for x in set(lines)]
 
 
 def boilerplate_lines(df: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
     """host, lines: for each host the hashes of its boilerplate lines.
 
-    Two aggregations with partial counts; rows that travel are one per (host, line, other line) and task. The list of
+    Two aggregations with partial counts; rows that travel are one per (host, line, normalised text) and task. The list of
     a host is bounded: each of its lines is in more than `share` of the documents, so there are at most (lines per
     document) / share of them.
     """
@@ -94,18 +91,18 @@ def boilerplate_lines(df: DataFrame, text: str, host: str, least: int, share: fl
 
     def make():
         def work(columns):
-            hosts, hashes, others = [], [], []
+            hosts, hashes, texts = [], [], []
             for h, value in zip(columns["host"].to_pylist(), columns["text"].to_pylist()):
                 rows = document_lines(value)
                 hosts += [h] * len(rows)
                 hashes += [x for x, _ in rows]
-                others += [y for _, y in rows]
-            return {"host": hosts, "line": hashes, "other": others}
+                texts += [y for _, y in rows]
+            return {"host": hosts, "line": hashes, "whole": texts}
 
         return work
 
-    lines = map_columns(df.select(lone.alias("host"), F.col(text).alias("text")), make, "host string, line long, other long")
-    often = lines.groupBy("host", "line", "other").agg(F.lit(1).alias("one")).groupBy("host", "line").count()
+    lines = map_columns(df.select(lone.alias("host"), F.col(text).alias("text")), make, "host string, line long, whole long")
+    often = lines.groupBy("host", "line", "whole").agg(F.lit(1).alias("one")).groupBy("host", "line").count()
     sizes = df.groupBy(lone.alias("host")).agg(F.count("*").alias("documents"))
     return (
         often.where(F.col("count") > least)

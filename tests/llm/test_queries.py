@@ -55,6 +55,28 @@ def test_copies_do_not_make_their_lines_boilerplate(spark):
     assert not any(got[2000 + i]["kept"] for i in range(30))
 
 
+def test_shared_lines_are_counted_by_documents(spark):
+    """Two shared lines longer than any other; a plain count over sets of texts, without the operator's helpers."""
+    draw = random.Random(4)
+    sentence = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    shared = [sentence(40), sentence(30)]
+    rows = [(i, "\n".join([*shared, *(sentence(12) for _ in range(6))]), "h") for i in range(300)]
+    rows += [(1000 + i, "\n".join([shared[0], *(sentence(12) for _ in range(6))]), "few") for i in range(20)]
+    rows += [(2000 + i, shared[1], "one") for i in range(40)]
+    holders = {}
+    for _, text, host in rows:
+        for line in text.split("\n"):
+            holders.setdefault((host, line), set()).add(text)
+    size = {h: sum(r[2] == h for r in rows) for h in ("h", "few", "one")}
+    bad = {k for k, v in holders.items() if len(v) > 20 and len(v) > 0.1 * size[k[0]]}
+    assert bad == {("h", shared[0]), ("h", shared[1])}
+    got = {r["doc_id"]: r for r in Q.apply_quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for name, text, host in rows:
+        left = [x for x in text.split("\n") if (host, x) not in bad]
+        gone = len(text.split()) - len(" ".join(left).split())
+        assert (got[name]["clean_text"], got[name]["n_boilerplate_words"]) == ("\n".join(left), gone)
+
+
 # --- 7 --------------------------------------------------------------------------------------------
 
 
