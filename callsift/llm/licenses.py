@@ -56,15 +56,70 @@ NOTICES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 UNKNOWN = "unknown"
+_L = "licen[cs]e"
+_VERSION = r"(?:[ -]\d(?:\.\d)?)?"
+#: How each family is named, with its version where that makes the family, and the name in full.
+NAMES = {
+    "AGPL": (rf"(?:gnu )?affero general public {_L}|\bagpl(?:[ -]?v?\.? ?\d(?:\.\d)?)?", "GNU Affero General Public License"),
+    "LGPL": (rf"(?:gnu )?(?:lesser|library) general public {_L}|\b(?:gnu )?lgpl(?:[ -]?v?\.? ?\d(?:\.\d)?)?", "GNU Lesser General Public License"),
+    "GPL": (rf"(?:gnu )?(?<!affero )(?<!lesser )(?<!library )general public {_L}|\b(?:gnu )?gpl(?:[ -]?v?\.? ?\d(?:\.\d)?)?", "GNU General Public License"),
+    "Apache-2.0": (
+        rf"\bapache(?: software)?(?: {_L})?,?(?:[ -]\(?(?:version |v\.? ?)?)2(?:\.0)?(?![\w])|apache\.org/licenses/license-2\.0",
+        "Apache License, Version 2.0",
+    ),
+    "BSD": (
+        rf"\b(?:[234]|two|three|four)[ -]clause bsd(?:[ -]{_L})?|\bbsd[ -](?:[234]|two|three|four)[ -]clause|\bbsd(?:[ -]style)? {_L}|\bbsd-style|(?<=under )bsd\b|(?<=under the )bsd\b",
+        "BSD License",
+    ),
+    "CC-BY": (
+        rf"\bcc[ -]by(?![ -]?(?:nc|sa|nd)\b){_VERSION}\b|creative commons attribution(?![ -]*(?:non-?commercial|share-?alike|no-?deriv))",
+        "Creative Commons Attribution 4.0",
+    ),
+    "CC-BY-NC": (
+        rf"\bcc[ -]by[ -]nc(?![ -]?(?:sa|nd)\b){_VERSION}\b|creative commons attribution[ -]*non-?commercial(?![ -]*(?:share-?alike|no-?deriv))",
+        "Creative Commons Attribution-NonCommercial 4.0",
+    ),
+    "CC-BY-SA": (rf"\bcc[ -]by[ -]sa{_VERSION}\b|creative commons attribution[ -]*share-?alike", "Creative Commons Attribution-ShareAlike 4.0"),
+    "CC0": (r"\bcc0(?:[ -]1\.0)?(?: universal)?\b|creative commons zero", "CC0 1.0 Universal"),
+    "ISC": (rf"\bisc[ -]{_L}|(?<=license-identifier: )isc(?![\w-])|(?<=license: )isc(?![\w-])|(?<=under the )isc\b|(?<=under )isc\b", "ISC License"),
+    "MIT": (
+        rf"\bmit(?:[ -]style)?[ -]{_L}|\bmit/x11|\bexpat {_L}|(?<=license-identifier: )\(?mit(?![\w-])|(?<=license: )(?-i:MIT)(?![\w-])"
+        r"|(?:(?<=under )|(?<=under the )|(?<=either )|(?<=either the )|(?<=or )|(?<=or the )|(?<=and )|(?<=and the )|(?<=/))(?-i:MIT)\b(?!-\d)"
+        r"|\b(?-i:MIT)(?=/| or | and |, )",
+        "MIT License",
+    ),
+    "MPL-2.0": (rf"mozilla public {_L},?(?: \(?(?:version|v\.?))?[ -]?2(?:\.0)?|\bmpl[ -]?(?:v\.? ?)?2(?:\.0)?", "Mozilla Public License, version 2.0"),
+    "Unlicense": (r"\bunlicense\b", "Unlicense"),
+}
+#: Wordings in which any name can stand.
+WORDINGS = [
+    "Licensed under the {}.",
+    "Distributed under the {}.",
+    "This project is released under the terms of the {}.",
+    "This software is available under the {}.",
+    "See the {} for details.",
+    "SPDX-License-Identifier: {}.",
+    "License: {}.",
+    "{}",
+]
+#: A name is a notice if the passage also has one of these, or hardly any other words.
+GRANTS = frozenset(
+    "licensed licenced dual-licensed relicensed released distributed redistributed redistribute available published provided covered governed offered "
+    "shared compliance terms conditions subject spdx-license-identifier".split()
+)
 #: Passages of the corpus, about, that are learned as no licence; one of each drawn document.
 SAMPLE = 2000
-#: Share of a notice's word pairs that a passage must hold to confirm its family.
+#: Share of a notice's word pairs that a passage must hold to confirm a family that it does not name.
 CONFIRM = 0.8
 #: A calibrated probability under this is unknown.
 LEAST = 0.5
+#: Words on either side of a name that are judged with it.
+AROUND = 15
 
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-_END = re.compile(r"(?<=[.!?])\s+|\n[ \t\r]*\n")
+_END = re.compile(r"(?<=[.!?])(?<!\s[vV]\.)\s+|\n[ \t\r]*\n")
+_NAME = re.compile("|".join(f"(?P<f{i}>{pattern})" for i, (pattern, _) in enumerate(NAMES.values())), re.IGNORECASE)
+_HINTS = ("licen", "gpl", "bsd", "apache", "cc-", "cc ", "cc0", "creative", "mpl", "mozilla")
 
 
 def words(text: str) -> list[str]:
@@ -85,6 +140,25 @@ def containment(found: set[str], notice: str) -> float:
     return len(pairs & found) / len(pairs) if pairs else 0.0
 
 
+def named(passage: str) -> tuple[str, list[tuple[int, int, str]]]:
+    """The passage with single spaces, and where it names families: start, end, family."""
+    lower = passage.lower()
+    if not any(x in lower for x in _HINTS) and "MIT" not in passage and "ISC" not in passage:
+        return passage, []
+    passage, families = " ".join(passage.split()), list(NAMES)
+    found = list(_NAME.finditer(passage))
+    if len(found) == 1 and found[0].group() == "MIT" and not passage[: found[0].start()].lower().endswith(("under ", "under the ", ": ")):
+        found = []  # the institute, unless it stands beside another licence
+    return passage, [(m.start(), m.end(), families[int(m.lastgroup[1:])]) for m in found]
+
+
+def pairs_of(notice: str) -> frozenset:
+    return frozenset(set(grams(words(notice))) - set(words(notice)))
+
+
+_NAMING = {pairs_of(n) for some in NOTICES.values() for n in some if named(n)[1]}
+
+
 @dataclass
 class Model:
     """families (the last is unknown), vocabulary (n-gram: column), weights, bias, temperature of the calibrated softmax."""
@@ -96,20 +170,69 @@ class Model:
     temperature: float = 1.0
     notices: dict[str, list[frozenset]] = field(default_factory=dict)
 
+    def __post_init__(self):
+        #: Notices that name no family: only these can confirm one that is not named.
+        self.clauses = {k: [n for n in v if n not in _NAMING] for k, v in self.notices.items()}
+
     def probabilities(self, columns: list[int]) -> np.ndarray:
         z = (self.weights[columns].sum(axis=0) + self.bias) / self.temperature
         p = np.exp(z - z.max())
         return p / p.sum()
 
+    def guess(self, found: set[str]) -> np.ndarray:
+        return self.probabilities([self.vocabulary[g] for g in found if g in self.vocabulary])
+
+    def families_of(self, passage: str) -> list[tuple[str, float, float]]:
+        """Every predicted family of a passage with its probability and match, in the order of the names.
+
+        A family that is named is judged by itself, its names written in full and those of other families left out, on the
+        passage or on the words around a name; its match is 1 in a notice. The rest is compared with whole notices, one
+        after the other, as long as they are confirmed.
+        """
+        passage, names = named(passage)
+        names = [x for x in names if x[2] in self.notices]
+        out = []
+        for family in dict.fromkeys(f for _, _, f in names):
+            before, parts, at = [], [], 0
+            for start, end, f in names:
+                parts += words(passage[at:start])
+                if f == family:
+                    before.append(len(parts))
+                    parts += words(NAMES[family][1])
+                at = end
+            parts += words(passage[at:])
+            size, label = len(words(NAMES[family][1])), self.families.index(family)
+            near = [parts[max(0, i - AROUND) : i + size + AROUND] for i in before]
+            p = max(float(self.guess(set(grams(x)))[label]) for x in [parts, *near])
+            if p >= LEAST:
+                others = len(parts) - size * len(before)
+                notice = not GRANTS.isdisjoint(parts) or others <= 2
+                found = set(grams(words(passage)))
+                out.append((family, p, 1.0 if notice else max(len(n & found) / len(n) for n in self.notices[family])))
+        found, at = set(), 0
+        for start, end, _ in [*names, (len(passage), len(passage), "")]:
+            found |= set(grams(words(passage[at:start])))
+            at = end
+        while True:
+            p = self.guess(found)
+            best = int(p.argmax())
+            family = self.families[best]
+            if family == UNKNOWN or p[best] < LEAST or family in [f for f, _, _ in out]:
+                return out
+            match, notice = max(((len(n & found) / len(n), n) for n in self.clauses[family]), key=lambda x: x[0], default=(0.0, frozenset()))
+            if match < CONFIRM and out:
+                return out
+            out.append((family, float(p[best]), match))
+            if match < CONFIRM:
+                return out
+            found = found - notice - {w for g in notice for w in g.split(" ")}
+
     def judge(self, passage: str) -> tuple[str, float, float]:
-        """Family, its probability, and the share of its best notice that the passage holds."""
-        found = set(grams(words(passage)))
-        p = self.probabilities([self.vocabulary[g] for g in found if g in self.vocabulary])
-        best = int(p.argmax())
-        family = self.families[best]
-        if family == UNKNOWN or p[best] < LEAST:
-            return UNKNOWN, float(p[-1]), 0.0
-        return family, float(p[best]), max(len(n & found) / len(n) for n in self.notices[family])
+        """The passage's best family, its probability and its match."""
+        found = self.families_of(passage)
+        if found:
+            return max(found, key=lambda x: (x[2] >= CONFIRM, x[1]))
+        return UNKNOWN, float(self.guess(set(grams(words(passage))))[-1]), 0.0
 
 
 def _descend(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +262,9 @@ def fit(negatives: list[str], notices: dict[str, list[str]] = NOTICES, variants:
     """
     draw = random.Random(5)
     families = [*sorted(notices), UNKNOWN]
-    sets = {k: [frozenset(set(grams(words(n))) - set(words(n))) for n in notices[k]] for k in notices}
-    whole = [(words(n), families.index(k)) for k in families[:-1] for n in notices[k]]
+    sets = {k: [pairs_of(n) for n in notices[k]] for k in notices}
+    worded = {k: [x.format(NAMES[k][1]) for x in WORDINGS] if k in NAMES else [] for k in notices}
+    whole = [(words(n), families.index(k)) for k in families[:-1] for n in [*notices[k], *worded[k]]]
     spare = [w for p in negatives for w in words(p)] or ["other"]
     every = [w for n, _ in whole for w in n]
     examples: list[tuple[list[str], int]] = []
@@ -159,7 +283,7 @@ def fit(negatives: list[str], notices: dict[str, list[str]] = NOTICES, variants:
             examples.append((draw.sample(every, min(len(every), len(found))), len(families) - 1))
     for passage in negatives:
         found = set(grams(words(passage)))
-        if not any(len(n & found) >= CONFIRM * len(n) for some in sets.values() for n in some):
+        if not named(passage)[1] and not any(len(n & found) >= CONFIRM * len(n) for some in sets.values() for n in some):
             examples.append((words(passage), len(families) - 1))
     examples += [([], len(families) - 1)] * 20
     vocabulary = {g: i for i, g in enumerate(sorted({g for n, _ in whole for g in grams(n)}))}
@@ -198,7 +322,7 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model:
 def scan(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds (or replaces) licenses: array of (family, probability, match, passage) in the order of the text.
 
-    Every passage of a whole text is judged; those predicted as a family are listed, confirmed ones have match >= CONFIRM.
+    Every passage of a whole text is judged; each family predicted for it is listed, confirmed ones have match >= CONFIRM.
     A passage without any n-gram of the vocabulary has the same features as an empty one, which the model must call
     unknown; such passages are passed over. Null and empty texts have an empty list. Narrow; the model is broadcast (its
     size depends on the notices alone).
@@ -216,9 +340,8 @@ def scan(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         def one(value):
             found = []
             for passage in passages(value):
-                if not single.isdisjoint(words(passage)):
-                    family, p, match = known.judge(passage)
-                    if family != UNKNOWN:
+                if not single.isdisjoint(words(passage)) or named(passage)[1]:
+                    for family, p, match in known.families_of(passage):
                         found.append({"family": family, "probability": p, "match": match, "passage": passage})
             return found
 

@@ -43,3 +43,33 @@ def test_odd_rows(spark):
     assert got == [(0, ["MIT"]), (1, []), (1, []), (2, [])]
     assert L.scan(df.limit(0), model).count() == 0
     assert L.train(df.limit(0)).families[-1] == L.UNKNOWN
+
+
+def test_usual_wordings_and_identifiers():
+    model = L.fit(["the weather was fine and the garden was green today", "er reat ond the inly thon"])
+    found = lambda text: sorted({f for x in L.passages(text) for f, _, m in model.families_of(x) if m >= L.CONFIRM})
+    for text, wanted in {
+        "Distributed under the MIT License": ["MIT"],
+        "Licensed under the Apache License 2.0": ["Apache-2.0"],
+        "This package is made available under the 3-clause BSD license, see LICENSE.": ["BSD"],
+        "The code in this folder is covered by GPLv3 or later.": ["GPL"],
+        "You can use it subject to the Mozilla Public License v2.0": ["MPL-2.0"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["MPL-2.0"],
+        "All pictures are shared under CC-BY-SA 3.0.": ["CC-BY-SA"],
+        "MIT License": ["MIT"],
+        "Licensed under the MIT License or the Apache License, Version 2.0": ["Apache-2.0", "MIT"],
+        "SPDX-License-Identifier: MIT OR Apache-2.0": ["Apache-2.0", "MIT"],
+        "Dual-licensed under Apache 2.0 and MIT.": ["Apache-2.0", "MIT"],
+        "The library is distributed under the LGPL, its tools under the GNU General Public License.": ["GPL", "LGPL"],
+        "MIT and Apache-2.0 licensed": ["Apache-2.0", "MIT"],
+        "Papers published by Harvard or MIT are listed.": [],
+        "Er wurde published mit der Bahn.": [],
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": [],
+    }.items():
+        assert found(text) == wanted, (text, [model.families_of(x) for x in L.passages(text)])
+    for name, family in {
+        "MIT": "MIT", "GPL-3.0": "GPL", "GPL-2.0-or-later": "GPL", "LGPL-2.1-only": "LGPL", "AGPL-3.0-only": "AGPL", "BSD-3-Clause": "BSD",
+        "Apache-2.0": "Apache-2.0", "ISC": "ISC", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0", "CC-BY-4.0": "CC-BY", "CC-BY-NC-4.0": "CC-BY-NC",
+        "CC-BY-SA-4.0": "CC-BY-SA", "Unlicense": "Unlicense",
+    }.items():
+        assert found(f"SPDX-License-Identifier: {name}") == [family], (name, model.families_of(f"SPDX-License-Identifier: {name}"))
