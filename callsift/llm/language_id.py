@@ -15,7 +15,7 @@ from callsift.llm.base import map_columns, utf8
 UNKNOWN = "und"
 TRIPLES, PAIRS = 8192, 4096
 FEATURES = TRIPLES + PAIRS
-#: Documents per language that the classifiers learn from, about; whole texts, chosen by a hash of the row.
+#: Distinct texts per language that the classifiers learn from, about; whole texts, chosen by a hash of the row.
 SAMPLE = 20_000
 #: A prediction whose share is under this is flagged as ambiguous.
 LEAST_SCORE = 0.6
@@ -67,17 +67,20 @@ class Model:
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from the rows' texts and non-null languages, about `sample` rows of each language.
+    """Learn from the rows' texts and non-null languages, about `sample` distinct texts of each language and one at least.
 
+    Copies count once, so that no text rules a language's rates and the sample is bounded whatever the copies are.
     Tasks count n-grams per language; only languages x FEATURES counts reach the driver. Each bit's classifier is linear
     with the log-odds of an n-gram among the languages on either side, every language weighing the same.
     """
     labelled = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
+    distinct = labelled.select("lang", F.xxhash64("text", "lang").alias("row"), place.alias("place")).distinct()
+    sizes = {r["lang"]: (r["n"], r["first"]) for r in distinct.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()}
     if not sizes:
         return Model([], np.zeros((0, 0)), np.zeros((FEATURES, 0)), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))])
-    drawn = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
+    limit = F.create_map(*[F.lit(x) for k, (n, first) in sizes.items() for x in (k, max(first + 1.0, min(1.0, sample / n) * (1 << 30)))])
+    drawn = labelled.where(place < limit[F.col("lang")]).distinct()
 
     def count(batches):
         import pyarrow as pa
@@ -94,7 +97,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
                 names=["lang", "feature", "n"],
             )
 
-    counted = labelled.where(drawn).mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
+    counted = drawn.mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(set(counted["lang"]))
     seen = np.zeros((len(languages), FEATURES))
     seen[[languages.index(x) for x in counted["lang"]], counted["feature"]] = counted["n"]

@@ -134,6 +134,14 @@ def test_fingerprint_by_definition():
 # --- 6 --------------------------------------------------------------------------------------------
 
 
+def test_copies_do_not_rule_the_language_sample(spark):
+    rows = [("der hund und die katze", "de")] * 300 + [(f"das haus und der garten {x}", "de") for x in "abc"] + [("the dog and the cat", "en")] * 300
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model, plain = L.train(df), L.train(df.distinct())
+    assert model.languages == plain.languages == ["de", "en"] and np.array_equal(model.weights, plain.weights)
+    assert L.train(df, sample=0).languages == ["de", "en"]
+
+
 def test_held_out_languages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op6_language_id"](spark, FOLDER).join(docs, "doc_id").collect()
