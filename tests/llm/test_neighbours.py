@@ -57,3 +57,20 @@ def test_copies_ties_and_unusable_rows(spark):
     assert few.count() == 2
     assert N.nearest_neighbours(df.limit(0), df.limit(0)).count() == 0
     assert N.nearest_neighbours(df.where("vec_id = 200"), df.where("vec_id = 200")).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_recall_over_many_lists(spark, monkeypatch):
+    """Lists of about 60 points, so that most are left unread."""
+    monkeypatch.setattr(N, "CELL", 60)
+    draw = np.random.default_rng(5)
+    centres = draw.standard_normal((40, 16))
+    rows = centres[draw.integers(0, 40, 3000)] + 0.3 * draw.standard_normal((3000, 16))
+    seen, fit = [], N.fit_centroids
+    monkeypatch.setattr(N, "fit_centroids", lambda *x: seen.append(fit(*x)) or seen[-1])
+    df = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = by_query(N.nearest_neighbours(df, df.where("vec_id % 50 = 0")).collect())
+    wanted = brute(np.arange(3000), rows, range(0, 3000, 50))
+    centroids, probes = seen[0]
+    assert len(centroids) == 50 and probes <= 25, probes
+    hit = sum(len({a for a, _ in got[q]} & {a for a, _ in wanted[q]}) for q in wanted)
+    assert hit >= 0.95 * sum(map(len, wanted.values()))
