@@ -5,13 +5,13 @@ from __future__ import annotations
 import gc
 import json
 import re
-import unicodedata
 from array import array
 
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, pre_tokenizers
 
 from callsift.llm.base import map_columns, portions
 
@@ -20,7 +20,6 @@ CHUNK = 1_000_000
 MEMORY = 600_000
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
-WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 def byte_letters() -> dict[str, int]:
@@ -31,12 +30,14 @@ def byte_letters() -> dict[str, int]:
 
 
 def character_classes() -> np.ndarray:
+    """The class of every code point, as the library's own patterns see it (its Unicode version may be newer than Python's)."""
+    codes = np.delete(np.arange(0x40000, dtype=np.uint32), np.s_[0xD800:0xE000])  # there is none of these classes in later planes
+    every = codes.tobytes().decode("utf-32-le")
     found = np.zeros(0x110000, np.uint8)
-    for code in range(0x110000):
-        kind = unicodedata.category(chr(code))[0]
-        if kind in "LN":
-            found[code] = LETTER if kind == "L" else NUMBER
-    found[WHITE_SPACE] = SPACE
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        matcher = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        for _, (start, stop) in matcher.pre_tokenize_str(every):
+            found[codes[start:stop]] = kind
     return found
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsift.llm.base import map_columns, portions
-from callsift.llm.bpe import CHUNK, codec, vocabulary
+from callsift.llm.bpe import CHUNK, vocabulary
+from callsift.llm.piece_codec import piece_codec
 from callsift.session import settle
 
 LENGTH = 2048
@@ -25,20 +26,20 @@ def encoded(df: DataFrame, key: str, text: str, path: str, end: int) -> DataFram
     kind = df.schema[key].dataType.simpleString()
 
     def make():
-        tool, part, total = codec(path), TaskContext.get().partitionId(), 0
-        small = "<u2" if max(*tool.tokens, end) < 1 << 16 else "<u4"
+        tool, part, total = piece_codec(path, end), TaskContext.get().partitionId(), 0
+        last = tool.packed([end])
 
         def work(columns):
             nonlocal total
             texts = columns["text"].to_pylist()
             for a, b in portions(texts, CHUNK):
-                ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(end)) for x in tool.encode_all(texts[a:b])]
-                sizes = np.array([len(x) for x in ids], np.int64)
+                ids = [x + last for x in tool.encode_all(texts[a:b])]
+                sizes = np.array([len(x) for x in ids], np.int64) // tool.width
                 before = total + np.cumsum(sizes) - sizes
                 total += int(sizes.sum())
                 yield {
                     "key": columns["key"].slice(a, b - a), "part": [part] * (b - a), "before": before, "n": sizes,
-                    "width": [int(small[-1])] * (b - a), "ids": [x.astype(small).tobytes() for x in ids],
+                    "width": [tool.width] * (b - a), "ids": ids,
                 }
 
         return work

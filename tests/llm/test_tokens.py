@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from callsift.llm import bpe
 from callsift.llm.packing import pack
+from callsift.llm.piece_codec import piece_codec
 from callsift.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -45,6 +46,21 @@ def test_long_texts_are_cut_where_pieces_start(library, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_like_the_library(name):
+    tool, whole, draw = piece_codec(bpe.vocabulary(name)), Tokenizer.from_file(bpe.vocabulary(name)), random.Random(3)
+    odd = PARTS + ["<|startoftext|>", "\xa0", "İ", "Σ", "ΑΣ", "Ǆ", "'S", "T", "ß", "ẞ", "e\u0301", "\ua7cd", "\U00010d43"]
+    cases = ["", None, "a" * 3000, " \n "] + ["".join(draw.choices(odd, k=draw.randint(0, 40))) for _ in range(4000)]
+    cases += [f"a{c}b {c}'s{c} " for c in map(chr, [*range(0x400), *range(0x400, 0xD800, 97), *range(0xE000, 0x110000, 997)])]
+    for text, ids in zip(cases, tool.encode_all(cases)):
+        assert np.frombuffer(ids, f"<u{tool.width}").tolist() == whole.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_wider_than_two_bytes():
+    tool = piece_codec(bpe.vocabulary(), 70_000)
+    assert tool.width == 4 and len(tool.packed([70_000])) == 4
+
+
 def test_bpe_query(spark, library, texts):
     rows = {r["doc_id"]: r for r in QUERIES["op5_bpe"](spark, FOLDER).collect()}
     assert len(rows) == len(texts)
