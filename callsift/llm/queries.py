@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from callsift.llm import licenses
 from callsift.llm.base import table
+from callsift.llm.bin_completion import pack_best
 from callsift.llm.neighbours import nearest_neighbours
 from callsift.llm.packing import pack
+from callsift.llm.part_codes import compress
 from callsift.llm.quality_rules import apply_quality_rules
 from callsift.llm.bpe import encode_decode
+from callsift.llm.fill_in_middle import fill_in_middle, restore
 from callsift.llm.language_id import predict, train
 from callsift.llm.repeats import remove_repeats
 from callsift.llm.simhash import simhash_components
 from callsift.llm.tool_calls import link_tool_calls
 from callsift.llm.warc import read_resolved, write_archive
-from callsift.session import fresh_path
+from callsift.session import fresh_path, settle
 
 QUERIES, SQL = {}, {}
 
@@ -233,3 +238,77 @@ def op9_licenses(spark, folder):
 def op10_packing(spark, folder):
     """Pieces of all documents in sequences of 2048 tokens."""
     return pack(table(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+# --- 11: vector codes -----------------------------------------------------------------------------
+
+
+@query
+def op11_vector_codes(spark, folder):
+    """Code and error of every vector, the errors of its label, and a digest of the codebooks."""
+    rows, model = compress(table(spark, folder, "embeddings").select("vec_id", "label", "embedding"))
+    coded = settle(rows.select("vec_id", "label", F.lower(F.hex("codes")).alias("code"), "error"), "codes")
+    labels = coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "l")
+    books = F.lit(hashlib.sha256(model.text().encode()).hexdigest())
+    joined = coded.join(labels, F.col("label").eqNullSafe(F.col("l")))
+    return joined.select("vec_id", "code", "error", "label_error", books.alias("codebooks_sha256"))
+
+
+def codebook_rounds(rounds):
+    """SQL of the rounds: `aN` assigns by the books `bN`, which then become the next ones."""
+    for i in range(rounds + 1):
+        yield f"""
+dist{i} AS (SELECT a.v, a.p, b.e, sum((a.x - b.x) * (a.x - b.x)) AS d FROM parts a JOIN b{i} b ON a.p = b.p AND a.j = b.j GROUP BY a.v, a.p, b.e),
+a{i} AS MATERIALIZED (SELECT v, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM dist{i} GROUP BY v, p)"""
+        if i < rounds:
+            yield f"""
+m{i} AS (SELECT a.p, a.e, x.j, floor(sum(x.x) / count(*))::BIGINT AS x FROM a{i} a JOIN parts x ON x.v = a.v AND x.p = a.p GROUP BY a.p, a.e, x.j),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, b.j, coalesce(m{i}.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} USING (p, e, j))"""
+
+
+SQL["op11_vector_codes"] = (
+    r"""
+WITH kept AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS (SELECT v, len(embedding) // 4 AS w, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM kept),
+parts AS MATERIALIZED (SELECT v, i // w AS p, i % w AS j, floor(1024 * x::DOUBLE)::BIGINT AS x FROM flat),
+b0 AS MATERIALIZED (SELECT p, (v - 1)::INT AS e, j, x FROM parts WHERE v <= 256),"""
+    + ",".join(codebook_rounds(4))
+    + r""",
+books AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b4),
+codes AS (SELECT v, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY v)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN codes USING (v), books
+"""
+)
+
+# --- 12: fill in the middle -----------------------------------------------------------------------
+
+
+@query
+def op12_fill_in_middle(spark, folder):
+    """Digests of every document with its middle moved to the end, and of the text rebuilt from that."""
+    made = restore(fill_in_middle(table(spark, folder, "documents").select("doc_id", "text")).drop("text"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+SQL["op12_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+      ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(list_slice(units, 1, a), ''), '') AS prefix, coalesce(array_to_string(list_slice(units, a + 1, b), ''), '') AS middle,
+      coalesce(array_to_string(list_slice(units, b + 1, n), ''), '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
+"""
+
+# --- 13: best-fit packing -------------------------------------------------------------------------
+
+
+@query
+def op13_best_fit(spark, folder):
+    """Pieces of all documents in as few sequences of 4096 tokens as the search finds."""
+    return pack_best(table(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")

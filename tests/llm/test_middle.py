@@ -1,0 +1,63 @@
+"""Fill-in-the-middle rows against a plain walk over the units."""
+
+import hashlib
+import re
+
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from callsift.llm import fill_in_middle as fill_in_middle_module
+from callsift.llm.fill_in_middle import UNITS, draws, fill_in_middle, restore, restored_text, transform, unit_ends
+
+ODD = ["", None, "a", ".", "abc", "ab1cd", "é" * 5, "one two <three>", "has <P> inside", "<S>", "<M", "<<S", "x<" * 9, "\n\r\n\t", "日本語 text 😀 more", "word " * 30_000]
+
+
+def plain(name, text):
+    """(n, form, prefix, middle, output) with the units found one by one."""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text or "")
+    digest = hashlib.sha256(f"1:{'' if name is None else name}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text or ""
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < 20:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab <>PSM/é\n1"), max_size=60), st.integers(0, 10**12))
+def test_one_match_like_unit_by_unit(text, name):
+    made = transform(text, draws(1, name), regex.compile(UNITS))
+    assert made == plain(name, text)
+    assert restored_text(made[4], made[1]) == text
+
+
+def test_all_forms_and_odd_rows(spark):
+    rows = [(i, t, "kept", 3) for i in [*range(40), None, 5] for t in ODD]
+    table = spark.createDataFrame(rows, "doc_id long, text string, form string, c0 int").repartition(4)
+    found = restore(fill_in_middle(table)).collect()
+    assert found[0].asDict().keys() == {"doc_id", "text", "c0", "n", "form", "prefix_chars", "middle_chars", "output", "restored"}
+    assert {r["form"] for r in found} == {"plain", "psm", "spm"} and len(found) == len(rows)
+    for r in found:
+        assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"]) == plain(r["doc_id"], r["text"])
+        assert r["restored"] == (r["text"] or "") and r["c0"] == 3
+
+
+def test_portions_end_where_units_end(monkeypatch):
+    units = regex.compile(UNITS)
+    for text in (*filter(None, ODD), "x" * 500, "x" * 120 + ".", "." * 120 + "x" * 130, ""):
+        wanted = units.fullmatch(text[:30_000]).ends(1)
+        monkeypatch.setattr(fill_in_middle_module, "CHUNK", 50)
+        assert unit_ends(text[:30_000], units).tolist() == wanted
+
+
+def test_a_very_long_text_and_an_empty_table(spark):
+    text = "ab, " * 1_500_000
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = restore(fill_in_middle(table)).selectExpr("n", "restored = text AS same").first()
+    assert row["n"] == 4_500_000 and row["same"]
+    assert fill_in_middle(table.where("doc_id > 1")).collect() == []
