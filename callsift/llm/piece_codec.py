@@ -5,12 +5,12 @@ from __future__ import annotations
 import gc
 import json
 import re
-from array import array
+from collections.abc import Callable
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from callsift.llm.bpe import LETTER, NUMBER, SPACE, Codec, byte_letters, character_classes
+from callsift.llm.bpe import LETTER, MEMORY, NUMBER, SPACE, Codec, byte_letters, character_classes
 
 #: The pre-tokenisers that are cut here; files with another one are encoded by the library alone.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
@@ -26,10 +26,42 @@ LOWER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace"
 SIMPLE = re.compile("[^\x00-˿]")
 
 
+class Memory:
+    """Ids of pieces in one array; a piece is known by its place in it. Names are whole numbers (short pieces) or strings."""
+
+    def __init__(self, kind: type):
+        self.places: dict[int | str, int] = {}
+        self.ids = np.zeros(1 << 16, kind)
+        self.first = np.zeros(1 << 12, np.int64)  # of each place, and the first behind the last
+        self.filled = 0
+
+    def add(self, names: list, new: list[int], sizes: list[int]) -> None:
+        at, used = len(self.places), self.filled + len(new)
+        while used > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while at + len(names) >= len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        self.ids[self.filled : used] = new
+        self.first[at + 1 : at + 1 + len(names)] = self.filled + np.cumsum(sizes)
+        self.filled = used
+        self.places.update(zip(names, range(at, at + len(names))))
+
+    def of(self, place: int) -> list[int]:
+        return self.ids[self.first[place] : self.first[place + 1]].tolist()
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all places in a row, where each place's ids begin in it and the last ones end)."""
+        sizes = self.first[places + 1] - self.first[places]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return self.ids[np.repeat(self.first[places] - edges[:-1], sizes) + np.arange(edges[-1])], edges
+
+
 class PieceCodec(Codec):
     """Byte-level pieces, remembered with their ids; a new piece is asked of the library's model.
 
-    Ids are packed little-endian in `width` bytes (2 where the vocabulary and the largest id beside it allow, else 4).
+    A piece of at most eight characters of one byte is looked up as a number, so that only the different ones of a batch
+    become Python values. Ids are packed little-endian in `width` bytes (2 where the vocabulary and the largest id beside
+    it allow, else 4).
     """
 
     def __init__(self, path: str, beside: int = 0):
@@ -38,23 +70,62 @@ class PieceCodec(Codec):
         self.library.no_padding()
         self.model = self.library.model
         self.width = 2 if max(beside, *self.library.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}").type
         with open(path, encoding="utf-8") as file:
             added = json.load(file)["added_tokens"]
         self.special = {t["content"]: t["id"] for t in added}
         self.divider = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.letters = {b: ord(c) for c, b in byte_letters().items()}
         self.classes = character_classes()
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.known_pairs: dict[int, bool] = {}
+        self.memory, self.older = Memory(self.kind), Memory(self.kind)
 
     def packed(self, ids: list[int]) -> bytes:
-        return array("H" if self.width == 2 else "I", ids).tobytes()
+        return np.array(ids, self.kind).tobytes()
+
+    def ids_of(self, piece: str) -> list[int]:
+        name = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        return [token.id for token in self.model.tokenize(name)]
+
+    def places(self, names: list, piece: Callable[[int], str]) -> np.ndarray:
+        """The places of the named pieces; `piece` gives the string of the i-th, which is asked for only if it is new."""
+        memory, older = self.memory, self.older
+        found = list(map(memory.places.get, names))
+        new = [i for i, place in enumerate(found) if place is None]
+        if new:
+            ids, sizes, before = [], [], 0
+            for place, i in enumerate(new, len(memory.places)):
+                found[i] = place
+                old = older.places.get(names[i])  # what is still in use comes back from the older half
+                ids += self.ids_of(piece(i)) if old is None else older.of(old)
+                sizes.append(len(ids) - before)
+                before = len(ids)
+            memory.add([names[i] for i in new], ids, sizes)
+        return np.array(found, np.int64)
 
-    def learn(self, pieces: set[str]) -> None:
-        for piece in pieces:
-            name = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-            self.pieces[piece] = self.packed([token.id for token in self.model.tokenize(name)])
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        joined, at, before = self.cut(texts)
+        if len(self.memory.places) > MEMORY:
+            self.older, self.memory = self.memory, Memory(self.kind)
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        ends = np.append(at[1:], len(code))
+        size, wide = ends - at, np.concatenate([[0], np.cumsum((code > 255) | (code == 0))])
+        short = (size <= 8) & (wide[ends] == wide[at])
+        where, size = at[short], size[short]
+        name = np.zeros(len(where), np.uint64)
+        padded = np.concatenate([code.astype(np.uint8), np.zeros(8, np.uint8)])
+        for i in range(8):
+            name |= np.where(size > i, padded[where + i], 0).astype(np.uint64) << np.uint64(8 * i)
+        names, first, which = np.unique(name, return_index=True, return_inverse=True)
+        places = np.empty(len(at), np.int64)
+        places[short] = self.places(names.tolist(), lambda i: joined[where[first[i]] : where[first[i]] + size[first[i]]])[which]
+        if len(where) < len(at):
+            rest = [joined[a:b] for a, b in zip(at[~short].tolist(), ends[~short].tolist())]
+            some = list(dict.fromkeys(rest))
+            place = dict(zip(some, self.places(some, some.__getitem__).tolist()))
+            places[~short] = [place[x] for x in rest]
+        ids, edges = self.memory.gather(places)
+        cuts = edges[before].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
     def whole(self, text: str) -> bytes:
         """Ids of a text that the library encodes as a whole."""
@@ -93,10 +164,8 @@ class WordCodec(PieceCodec):
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         return super().encode_batch([t.lower() for t in texts])
 
-    def learn(self, pieces: set[str]) -> None:
-        blank = {p for p in pieces if self.classes[ord(p[0])] == SPACE}  # a piece without ids
-        self.pieces.update(dict.fromkeys(blank, b""))
-        super().learn(pieces - blank)
+    def ids_of(self, piece: str) -> list[int]:
+        return [] if self.classes[ord(piece[0])] == SPACE else super().ids_of(piece)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         plain = [t or "" for t in texts]
