@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callsift.llm.base import map_columns, rows_of, utf8
+from callsift.operators.ids import number_by_key
 from callsift.session import settle
 
 LENGTH = 100
@@ -110,41 +111,44 @@ def suffix_array(strings: list[bytes]) -> np.ndarray:
     inner[ends] = False
     symbols[inner] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + m
     symbols[ends] = np.arange(m)
-    rank, width = symbols, 1
+    rank, width = np.zeros(n, np.int64), 4 if (m + 256) ** 4 < 1 << 62 else 1  # the first order is by so many symbols at once
+    for i in range(width):
+        rank *= m + 256
+        rank[: max(n - i, 0)] += symbols[i:]
+    order = np.argsort(rank)
     while True:
-        shifted = np.zeros(n, np.int64)
-        shifted[: n - width] = rank[width:]
-        key = rank * (max(n, m + 256) + 1) + shifted
-        order = np.argsort(key)
-        in_order = key[order]
+        in_order = rank[order]
         new = np.concatenate([[0], np.cumsum(in_order[1:] != in_order[:-1])])
+        if new[-1] == n - 1:
+            return order
         rank = np.empty(n, np.int64)
         rank[order] = new
-        width *= 2
-        if new[-1] == n - 1:
-            break
-    return order
+        key = rank * (n + 1)
+        key[: max(n - width, 0)] += rank[width:] + 1
+        order, rank, width = np.argsort(key), key, 2 * width
 
 
 def block_symbols(strings: list[bytes], depth: int) -> tuple[np.ndarray, int]:
     """Rank of the `step` symbols from each place on (0: a string's end and what is behind it), and the step.
 
-    The step is the largest of 4, 2 and 1 that divides `depth` and leaves ranks of 16 bits.
+    The step is the largest of 10, 5, 4, 2 and 1 that divides `depth`.
     """
+    step = next(s for s in (10, 5, 4, 2, 1) if depth % s == 0)
     plain = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + 1
     ends = np.cumsum([len(s) + 1 for s in strings]) - 1
     plain[ends] = 0
     left = np.repeat(ends, np.diff(np.append(-1, ends))) - np.arange(len(plain))
-    for step in (4, 2, 1):
-        if depth % step == 0:
-            packed = np.zeros(len(plain), np.int64)
-            for i in range(step):
-                packed = packed * 257
-                packed[: len(plain) - i] += np.where(left[: len(plain) - i] > i, plain[i:], 0)
-            used, ranks = np.unique(packed, return_inverse=True)
-            if len(used) <= 1 << 16:
-                return ranks.astype(np.uint16), step
-    raise AssertionError("one byte has at most 257 symbols")
+    width = min(step, 5)
+    packed = np.zeros(len(plain), np.int64)
+    for i in range(width):
+        packed = packed * 257
+        packed[: len(plain) - i] += np.where(left[: len(plain) - i] > i, plain[i:], 0)
+    ranks = np.unique(packed, return_inverse=True)[1]
+    if step > width:
+        pairs = ranks * (len(plain) + 1)
+        pairs[:-width] += np.where(left[:-width] >= width, ranks[width:], 0)
+        ranks = np.unique(pairs, return_inverse=True)[1]
+    return ranks.astype(np.uint32), step
 
 
 def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], tails: np.ndarray, tail_shard: np.ndarray, depth: int, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,11 +174,11 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], tails: np.ndar
     border = np.zeros(n, bool)
     for h in range(0, depth, step):
         by_shard = np.argsort(source, kind="stable")
-        before, real = np.empty(n, np.uint16), np.empty(n, bool)
+        before, real = np.empty(n, np.uint32), np.empty(n, bool)
         before[by_shard], real[by_shard] = symbols, whole
         some = np.flatnonzero(real)
         key = np.concatenate([tails, before[some]])
-        order = np.argsort(key, kind="stable")
+        order = np.sort(key.astype(np.uint64) << np.uint64(32) | np.arange(len(key), dtype=np.uint64)).astype(np.uint32)  # equal ones as they were
         moved = np.concatenate([tail_shard, source[some]])[order]
         key = key[order]
         part = np.concatenate([np.arange(-m, 0, dtype=np.int32), block[some]])[order]  # a tail is like no other suffix
@@ -267,7 +271,7 @@ def repeated_hashes(filed: DataFrame) -> tuple[DataFrame, np.ndarray]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
     """doc, key, spans (array of at, n): byte ranges covered by windows that start earlier in the corpus.
 
-    `docs` has doc (long, the order of documents), key (int, tells texts with one doc apart) and text; windows of texts
+    `docs` has doc (long, the order of documents), key (long, tells texts with one doc apart) and text; windows of texts
     with equal doc are in the order of key. Rows that repeat doc and text are one document.
     """
     spark = docs.sparkSession
@@ -297,7 +301,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
                 out["hash"].append(found[keep].view(np.int64))
                 out["whole"].append(np.array([xxhash.xxh3_64_intdigest(view[a : a + b]) for a, b in zip(at.tolist(), n.tolist())], np.uint64).view(np.int64))
                 out["doc"].append(np.full(len(at), doc, np.int64))
-                out["key"].append(np.full(len(at), key, np.int32))
+                out["key"].append(np.full(len(at), key, np.int64))
                 out["at"].append(at.astype(np.int32))
                 out["n"].append(n.astype(np.int32))
                 out["twice"].append(twice[keep])
@@ -305,32 +309,30 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
 
         return work
 
-    place = "doc long, key int, at int, n int"
+    place = "doc long, key long, at int, n int"
     all_rows = map_columns(docs.select("doc", "key", "text"), occurrences, f"hash long, whole long, {place}, twice boolean")
     rows = settle(all_rows.join(repeated, "hash"), "contexts")
     later, first = later_occurrences(rows, ["hash", "whole"])
     many = F.count("*").alias("different"), F.sum("n").alias("bytes"), F.max("twice").alias("twice")
     sizes = settle(first.groupBy("hash").agg(*many).where("different > 1 OR twice").select("hash", "bytes"), "sizes")
-    total = sizes.where(F.col("bytes") <= hot).agg(F.sum("bytes")).first()[0] or 0
-    buckets = max(32, -(-total // bucket))
     again = F.collect_list(F.struct("hash", "bytes", "at", "n", "twice")).alias("wanted")
     wanted = settle(first.join(sizes, "hash").groupBy("doc", "key").agg(again), "wanted")
 
     def extract():
-        """The bytes of the contexts: as they are with their bucket, or filed again where their hash is hot."""
+        """The bytes of the contexts: as they are, or (with `whole`) filed again where their hash is hot."""
 
         def work(columns):
-            out = {x: [] for x in ("bucket", "hash", "whole", "doc", "key", "at", "n", "twice", "data")}
+            out = {x: [] for x in ("hash", "whole", "doc", "key", "at", "n", "twice", "data")}
             for doc, key, text, some in rows_of(columns, ("doc", "key", "text", "wanted")):
                 data = utf8(text)
-                rows = [(w["hash"] % buckets, None, None, w["at"], w["n"], None) for w in some if w["bytes"] <= hot]
+                rows = [(w["hash"], None, w["at"], w["n"], None) for w in some if w["bytes"] <= hot]
                 hottest = [w for w in some if w["bytes"] > hot]
                 if hottest:
                     found, at, n, twice = filed_again(data, hottest, length, seed, SALT)
                     whole = np.array([xxhash.xxh3_64_intdigest(data[a : a + b]) for a, b in zip(at.tolist(), n.tolist())], np.uint64)
-                    rows += zip([None] * len(at), found.view(np.int64).tolist(), whole.view(np.int64).tolist(), at.tolist(), n.tolist(), twice.tolist())
-                for part, hashed, whole, at, n, twice in rows:
-                    for x, v in zip(out, (part, hashed, whole, doc, key, at, n, twice, data[at : at + n])):
+                    rows += zip(found.view(np.int64).tolist(), whole.view(np.int64).tolist(), at.tolist(), n.tolist(), twice.tolist())
+                for hashed, whole, at, n, twice in rows:
+                    for x, v in zip(out, (hashed, whole, doc, key, at, n, twice, data[at : at + n])):
                         out[x].append(v)
                 if len(out["doc"]) > 20_000:
                     yield out
@@ -340,33 +342,37 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
         return work
 
     texts = docs.join(wanted, ["doc", "key"]).select("doc", "key", "text", "wanted")
-    parts = settle(map_columns(texts, extract, f"bucket int, hash long, whole long, {place}, twice boolean, data binary"), "parts")
-    cold = parts.where("bucket IS NOT NULL").select("bucket", *PLACE, "data")
-    refiled = parts.where("bucket IS NULL").drop("bucket")
+    parts = settle(map_columns(texts, extract, f"hash long, whole long, {place}, twice boolean, data binary"), "parts")
+    cold, refiled = parts.where("whole IS NULL"), parts.where("whole IS NOT NULL")
     same, first = later_occurrences(refiled.drop("data"), ["hash", "whole"])
     sizes = settle(first.groupBy("hash").agg(*many).where("different > 1 OR twice").select("hash", "bytes"), "sizes")
-    left = settle(first.join(sizes, "hash").select("hash", "bytes", *PLACE), "left")
-    pieces = settle(refiled.select(*PLACE, "data").join(left, PLACE), "pieces")
-    spare = pieces.where(F.col("bytes") <= hot).select(F.pmod("hash", F.lit(buckets)).cast("int").alias("bucket"), *PLACE, "data")
+    left = settle(first.join(sizes, "hash").select("hash", "bytes", *PLACE, "n"), "left")
+    pieces = settle(refiled.select(*PLACE, "data").join(left.drop("n"), PLACE), "pieces")
+    spare = pieces.where(F.col("bytes") <= hot)
+    size = F.coalesce(F.sum("n"), F.lit(0))
+    total = cold.agg(size).first()[0] + left.where(F.col("bytes") <= hot).agg(size).first()[0]
+    into = F.pmod("hash", F.lit(max(32, -(-total // bucket)))).cast("int").alias("bucket")
 
     def every_window():
         def work(columns):
             for doc, key, at, data in zip(*(columns[x].to_pylist() for x in (*PLACE, "data"))):
-                digests = [xxhash.xxh3_128_intdigest(data[i : i + length]) for i in range(len(data) - length + 1)]
-                size = len(digests)
-                yield {
-                    "one": [(x >> 64) - (1 << 63) for x in digests], "two": [(x & (1 << 64) - 1) - (1 << 63) for x in digests],
-                    "doc": [doc] * size, "key": [key] * size, "at": list(range(at, at + size)), "n": [length] * size,
-                }
+                for first in range(0, len(data) - length + 1, 1 << 16):
+                    size = min(1 << 16, len(data) - length + 1 - first)
+                    digests = [xxhash.xxh3_128_intdigest(data[i : i + length]) for i in range(first, first + size)]
+                    yield {
+                        "one": [(x >> 64) - (1 << 63) for x in digests], "two": [(x & (1 << 64) - 1) - (1 << 63) for x in digests],
+                        "doc": [doc] * size, "key": [key] * size, "at": list(range(at + first, at + first + size)), "n": [length] * size,
+                    }
 
         return work
 
     def merge(table: pa.Table) -> pa.Table:
         rows = sorted(set(zip(*(table.column(x).to_pylist() for x in (*PLACE, "data")))))
         found = [(doc, key, at + a, n) for (doc, key, at, _), later in zip(rows, later_windows([r[3] for r in rows], length)) for a, n in runs(later, length)]
-        return pa.table({x: pa.array([f[i] for f in found], t) for i, (x, t) in enumerate(zip((*PLACE, "n"), (pa.int64(), pa.int32(), pa.int32(), pa.int32())))})
+        return pa.table({x: pa.array([f[i] for f in found], t) for i, (x, t) in enumerate(zip((*PLACE, "n"), (pa.int64(), pa.int64(), pa.int32(), pa.int32())))})
 
-    merged = cold.unionByName(spare).groupBy("bucket").applyInArrow(merge, place)
+    shared_out = [x.select(into, *PLACE, "data") for x in (cold, spare)]
+    merged = shared_out[0].unionByName(shared_out[1]).groupBy("bucket").applyInArrow(merge, place)
     windows = settle(map_columns(pieces.where(F.col("bytes") > hot).select(*PLACE, "data"), every_window, f"one long, two long, {place}"), "windows")
     single, _ = later_occurrences(windows, ["one", "two"])
     spans = later.unionByName(same).unionByName(merged).unionByName(single)
@@ -391,31 +397,47 @@ def cut_spans(data: bytes, spans: list | None) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, count
 
 
+def document_keys(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The columns of df as c0, c1, ..., with doc (its key, null ones last), key and text.
+
+    doc and key name a text: key is 0 where a doc is in one row only, else the number of the text among the different ones
+    in such rows, in order of doc and digest. Numbers come from a range sort, so that a key may hold any share of the rows.
+    """
+    order = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1)).alias("doc")
+    named = df.select(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(df.columns)], order, F.col(f"`{text}`").alias("text"))
+    again = settle(named.groupBy("doc").count().where("count > 1").select("doc"), "repeated-ids")
+    if again.isEmpty():
+        return named.withColumn("key", F.lit(0).cast("long"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest")
+    texts = named.join(again, "doc", "left_semi").select("doc", digest).distinct()
+    numbers = settle(number_by_key(texts, ["doc", "digest"], "key", start=1), "numbers")
+    return named.withColumn("digest", digest).join(numbers, ["doc", "digest"], "left").withColumn("key", F.coalesce("key", F.lit(0).cast("long"))).drop("digest")
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans, kept (binary) and kept_text: its text without bytes that a repeat covers.
 
     A byte goes if it lies in a string of `length` bytes that also starts earlier: in a row with a smaller key, or earlier
     in the same row. Strings are judged on the input. Rows with equal key and different texts are in an order of their
-    text's hash; rows that repeat key and text are one document and get one result; null keys come last. Null text is
-    empty. kept_text leaves out bytes that no longer make up a character. Other columns pass through (those named like
-    results are replaced).
+    text's digest; rows that repeat key and text are one document and get one result; null keys come last. Null text is
+    empty, an empty table gives no row. kept_text leaves out bytes that no longer make up a character. Other columns, of
+    any name, pass through (those named like results are replaced).
     """
     made = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
-    rest = [f for f in df.schema.fields if f.name not in made.names]
-    order = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    named = df.select(*[F.col(f"`{f.name}`") for f in rest]).withColumns({"_doc": order, "_key": F.hash(F.coalesce(text, F.lit("")))})
-    docs = named.select(F.col("_doc").alias("doc"), F.col("_key").alias("key"), F.col(text).alias("text"))
-    spans = settle(repeated_spans(docs, length), "spans").withColumnsRenamed({"doc": "_doc", "key": "_key", "spans": "_spans"})
+    rest = [(f"c{i}", f) for i, f in enumerate(df.schema.fields) if f.name not in made.names]
+    named = document_keys(df, key, text)
+    spans = settle(repeated_spans(named.select("doc", "key", "text"), length), "spans")
 
     def make():
         def work(columns):
-            data = [utf8(t) for t in columns[text].to_pylist()]
-            kept, removed, count = zip(*map(cut_spans, data, columns["_spans"].to_pylist()))
+            data = [utf8(t) for t in columns["text"].to_pylist()]
+            kept, removed, count = zip(*map(cut_spans, data, columns["spans"].to_pylist()))
             left = [k.decode("utf-8", "ignore") for k in kept]
             found = {"n_bytes": list(map(len, data)), "n_removed": list(removed), "n_spans": list(count), "kept": list(kept), "kept_text": left}
-            return {f.name: columns[f.name] for f in rest} | found
+            return {name: columns[name] for name, _ in rest} | found
 
         return work
 
-    joined = named.join(spans, ["_doc", "_key"], "left").select(*[F.col(f"`{f.name}`") for f in rest], "_spans")
-    return map_columns(joined, make, T.StructType(rest + made.fields))
+    joined = named.join(spans, ["doc", "key"], "left").select(*[name for name, _ in rest], "text", "spans")
+    out = map_columns(joined, make, T.StructType([T.StructField(name, f.dataType, f.nullable) for name, f in rest] + made.fields))
+    return out.select(*[F.col(name).alias(f.name) for name, f in rest], *made.names)

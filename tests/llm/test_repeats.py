@@ -73,3 +73,28 @@ def test_merged_transform_orders_suffixes():
                 seen.add(s[i : i + 4])
             wanted.append(starts)
         assert [x.tolist() for x in got] == wanted
+
+
+def test_texts_of_one_id_are_told_apart_exactly(spark):
+    """Two texts under null ids with one 32-bit hash: neither gets the other's spans."""
+    from pyspark.sql import functions as F
+
+    body = "".join(random.Random(2).choices("abcdefgh ", k=330))
+    made = spark.range(200_000).select(F.concat(F.lit(body), F.col("id").cast("string")).alias("t"))
+    one, two = made.groupBy(F.hash("t")).agg(F.sort_array(F.collect_list("t")).alias("t")).where(F.size("t") > 1).orderBy(F.col("t")[0]).first()["t"][:2]
+    other = "".join(random.Random(3).choices("ijklmnop ", k=338))
+    for texts in ([one, two], [two, other], [other, one]):
+        rows = [(1, texts[0]), (None, texts[0]), (None, texts[1])]
+        got = {r["text"]: r for r in R.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id IS NULL").collect()}
+        late = sorted(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+        for text, wanted in zip(late, brute([(1, texts[0])] + [(2, t) for t in late])[1:]):
+            assert (got[text]["n_bytes"], got[text]["n_removed"], got[text]["n_spans"], bytes(got[text]["kept"])) == wanted
+
+
+def test_columns_named_like_internal_ones_pass(spark):
+    text = "".join(random.Random(1).choices("abcdefgh ", k=200))
+    names = ["_doc", "_key", "_spans", "doc", "key", "spans", "c0", "hash", "digest", "count"]
+    df = spark.createDataFrame([(i, text, *range(10)) for i in (3, 4, 4)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    rows = R.remove_repeats(df).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in rows) == [(3, 0), (4, 200), (4, 200)]
+    assert all([r[n] for n in names] == list(range(10)) for r in rows)
