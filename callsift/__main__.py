@@ -19,9 +19,11 @@ from callsift.plans.evaluate import evaluate, infer, judge
 from callsift.plans.generate import generate, plan_samples
 from callsift.plans.noise import run_noise
 from callsift.plans.pairs import run_prepare_pairs
-from callsift.session import settle
-from callsift.sources.jsonl import DOCUMENT, bad_lines, read_jsonl_plain, write_jsonl
-from callsift.sources.reports import append_pair_sink, write_report_csv
+from callsift.operators.ids import number_by_position
+from callsift.session import settle, whole_job
+from callsift.sources.jsonl import DOCUMENT, PLACE, bad_lines, read_jsonl_plain, write_jsonl
+from callsift.sources.publish import publish
+from callsift.sources.reports import CONTENT, append_pair_sink, write_report_csv
 
 PAIR_WITH_ID = "id STRING, input STRING, output STRING"
 
@@ -53,6 +55,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for job in ("evaluate", "judge", "infer", "generate"):
         jobs.choices[job].add_argument("--model", required=True, help="package.module:factory")
         jobs.choices[job].add_argument("--tasks", type=int, help="how many clients work at once")
+        jobs.choices[job].add_argument("--ledger", help="folder that keeps answers, so that no run asks twice")
     for job in ("judge", "generate"):
         jobs.choices[job].add_argument("--judge-model", required=True)
     jobs.choices["evaluate"].add_argument("--run", help="run id; running again under it replaces its metrics")
@@ -62,6 +65,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+@whole_job
 def run(spark: SparkSession, chosen: argparse.Namespace) -> dict:
     job = chosen.job
     if job == "noise":
@@ -71,25 +75,26 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> dict:
     if job == "pairs":
         return run_prepare_pairs(spark, chosen.documents, chosen.gold, chosen.target, chosen.seed)
     if job == "bad-lines":
-        write_jsonl(bad_lines(spark, chosen.source), chosen.target, mode="overwrite")
+        publish(spark, chosen.target, lambda beside: write_jsonl(bad_lines(spark, chosen.source), beside))
         return {"bad_lines": spark.read.text(chosen.target).count()}
     model = named(chosen.model)
+    scoring = {"tasks": chosen.tasks, "ledger": chosen.ledger, "model": chosen.model}
     if job == "evaluate":
         rows = read_jsonl_plain(spark, chosen.pairs, "input STRING, output STRING")
-        options = {"run": chosen.run, "model_name": chosen.model_name, "dataset_file": chosen.pairs, "tasks": chosen.tasks}
+        options = {"run": chosen.run, "model_name": chosen.model_name, "dataset_file": chosen.pairs, **scoring}
         return {r["mode"]: r.asDict() for r in evaluate(rows, model, chosen.metrics, **options).collect()}
     if job == "judge":
-        rows = read_jsonl_plain(spark, chosen.pairs, PAIR_WITH_ID)
-        report = settle(judge(rows, model, named(chosen.judge_model), ["id"], tasks=chosen.tasks), "report")
+        rows = number_by_position(read_jsonl_plain(spark, chosen.pairs, PAIR_WITH_ID, with_order=True), "place").drop(*PLACE)
+        report = settle(judge(rows, model, named(chosen.judge_model), ["place"], judge_name=chosen.judge_model, **scoring), "report")
         write_report_csv(report, chosen.report)
         return {"rows": report.count()}
     if job == "infer":
         rows = read_jsonl_plain(spark, chosen.source, DOCUMENT).select("call_id", "id", "text")
-        write_jsonl(infer(rows, model, tasks=chosen.tasks), chosen.target, mode="overwrite")
+        publish(spark, chosen.target, lambda beside: write_jsonl(infer(rows, model, **scoring), beside))
         return {"rows": spark.read.text(chosen.target).count()}
     plan = plan_samples(spark.range(1, chosen.samples + 1), "id", chosen.seed)
-    made = settle(generate(plan, model, named(chosen.judge_model), chosen.source_name, seed=chosen.seed, tasks=chosen.tasks), "made")
-    append_pair_sink(made, chosen.transcripts, chosen.gold, chosen.source_name)
+    made = settle(generate(plan, model, named(chosen.judge_model), chosen.source_name, seed=chosen.seed, judge_name=chosen.judge_model, **scoring), "made")
+    append_pair_sink(made, chosen.transcripts, chosen.gold, chosen.source_name, CONTENT)
     return {"accepted": made.count()}
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
-from callsift.functions.jsontext import has_key, is_json, json_at
+from callsift.functions.jsontext import OPTIONS, is_json, json_at, value_at
 from callsift.functions.once import let
 from callsift.functions.text import strip
 
@@ -141,9 +141,14 @@ def clean_answer(raw: Column, missing_is_raw: bool = True) -> Column:
     def text_of(clean: Column, fixed: Column) -> Column:
         return (
             F.when(~is_json(fixed), F.replace(clean, F.lit("\\"), F.lit("/")))
-            .when(F.json_object_keys(fixed).isNull(), None)
-            .when(~has_key(fixed, "text"), missing)
-            .otherwise(let(json_at(fixed, ".text", "variant"), _string))
+            .otherwise(let(F.from_json(fixed, "map<string,string>", OPTIONS), lambda values: of_object(values, fixed)))
+        )
+
+    def of_object(values: Column, fixed: Column) -> Column:
+        return (
+            F.when(values.isNull(), None)
+            .when(~F.map_contains_key(values, "text"), missing)
+            .otherwise(let(value_at(fixed, ".text", "variant"), _string))
         )
 
     return let(strip(strip_fence(raw)), lambda clean: let(double_bad_backslashes(clean), lambda f: text_of(clean, f)))

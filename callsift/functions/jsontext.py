@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,19 +13,6 @@ from callsift.functions.once import let
 OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": "2147483647", "maxNumLen": "2147483647"}
 
 
-def _closed(text: Column) -> Column:
-    """The text as first element of an array that ends with its own md5.
-
-    Spark's JSON functions stop after the first value and ignore what follows. Here the rest has to parse too, and the
-    last element can only be reached when the text is one complete value.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
-
-
-def _is_whole(closed: Column, text: Column) -> Column:
-    return F.try_variant_get(closed, "$[1]", "string") == F.md5(text)
-
-
 def is_json(text: Column) -> Column:
     """Whether the text is exactly one JSON value of any size; false for null."""
 
@@ -39,15 +28,25 @@ def whole_json(text: Column, schema: str) -> Column:
     return let(text, lambda known: F.when(is_json(known), F.from_json(known, schema, OPTIONS)))
 
 
-def json_at(text: Column, path: str, kind: str) -> Column:
-    """The value at a path such as `.a[0].b`, null when the text is no JSON, the path is missing or the cast fails."""
+def value_at(text: Column, path: str, kind: str) -> Column:
+    """The value at a path such as `.a[0].b` of a text that is one JSON value; the last of repeated keys counts.
 
-    def found(known: Column) -> Column:
-        return let(
-            _closed(known), lambda closed: F.when(_is_whole(closed, known), F.try_variant_get(closed, f"$[0]{path}", kind))
-        )
+    Only the values on the path become a variant, so the rest may hold what a variant refuses: strings of any length,
+    NaN, repeated keys. Null when the path is missing or the cast fails.
+    """
+    steps = [(name, int(place or 0)) for name, place in re.findall(r"\.(\w+)|\[(\d+)\]", path)]
+    schema = "variant"
+    for name, _ in reversed(steps):
+        schema = f"struct<`{name}`:{schema}>" if name else f"array<{schema}>"
+    value = F.from_json(text, schema, OPTIONS)
+    for name, place in steps:
+        value = value[name] if name else F.try_element_at(value, F.lit(place + 1))
+    return value if kind == "variant" else F.try_variant_get(value, "$", kind)
 
-    return let(text, found)
+
+def json_at(text: Column, path: str, kind: str) -> Column:
+    """The value at a path, null when the text is no JSON, the path is missing or the cast fails."""
+    return let(text, lambda known: F.when(is_json(known), value_at(known, path, kind)))
 
 
 def has_key(text: Column, key: str) -> Column:

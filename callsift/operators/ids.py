@@ -24,19 +24,44 @@ def _number_stored(stored: DataFrame, group: str, block: str, out: str, start: i
     offsets = inside.join(groups, group).select(
         F.col(group).alias("_g"), F.col(block).alias("_b"), (F.col("_groups") + F.col("_inside") - F.col("_least") + start).alias("_offset")
     )
-    joined = stored.join(settle(offsets, "offsets"), (F.col(group) == F.col("_g")) & (F.col(block) == F.col("_b")))
+    joined = stored.join(offsets, (F.col(group) == F.col("_g")) & (F.col(block) == F.col("_b")))
     return joined.withColumn(out, (F.col("_offset") + F.col("_at")).cast("bigint")).drop("_g", "_b", "_offset")
 
 
+def _number_by_row_index(scan: DataFrame, out: str, start: int) -> DataFrame | None:
+    """Numbers from the place that a Parquet file gives each of its rows; None where rows have no such place.
+
+    Counts per file come from a scan without columns, that is from the footers. They become a table of one row per file,
+    and the rows themselves are not written. None, too, for a plan that leaves out rows of a file, since places would then
+    have gaps.
+    """
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        files = scan.groupBy(file.alias("_file")).agg(F.count("*").alias("_n"), F.max(place).alias("_last"))
+        placed = scan.select("*", file.alias("_path"), place.alias("_at"))
+    except AnalysisException:
+        return None
+    files = settle(files, "files")
+    if not files.where("_n != _last + 1").isEmpty():
+        return None
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = files.select(F.col("_file").alias("_path"), (before + start).alias("_offset"))
+    return placed.join(offsets, "_path").withColumn(out, (F.col("_offset") + F.col("_at")).cast("bigint")).drop("_path", "_offset", "_at")
+
+
 def number_by_position(scan: DataFrame, out: str = "row_id", start: int = 0) -> DataFrame:
     """Number the rows of a file scan in the order of (file path, position in the file).
 
-    The rows are written once with their file, the start of their part of it and a running number; all else is read from
-    there, so dynamic allocation, other split settings or a late action cannot change a number. A plan that is no file
-    scan (or that has lost sight of its files) has no such order and is refused; use number_by_key there. Readers of this
-    library carry file_path and file_block, which are used where they are present.
+    Rows of Parquet files are numbered by their place in the file. Others are written once with their file, the start of
+    their part of it and a running number; all else is read from there. Either way, dynamic allocation, other split
+    settings or a late action cannot change a number. A plan that is no file scan (or that has lost sight of its files)
+    has no such order and is refused; use number_by_key there. Readers of this library carry file_path and file_block,
+    which are used where they are present.
     """
     given = {"file_path", "file_block"} <= set(scan.columns)
+    numbered = None if given else _number_by_row_index(scan, out, start)
+    if numbered is not None:
+        return numbered
     try:
         placed = scan.withColumns(
             {

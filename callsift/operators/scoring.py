@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from callsift import fixed_values as V
 from callsift.functions.once import let, pin
 from callsift.functions.text import is_blank
+from callsift.operators.ledger import answered
 from callsift.operators.skew import first_per_key
 
 Ask = Callable[[Sequence], Sequence]
@@ -48,13 +50,21 @@ def score_with(
     error: str = "error",
     batch_rows: int = 8,
     tasks: int | None = None,
+    ledger: str | None = None,
+    model: str = "",
 ) -> DataFrame:
     """Add the answer of `make_ask()(prompts)` and an error column.
 
+    With a `ledger`, a folder that all runs share, answers are kept by `model` (the name of what answers) and prompt: equal
+    prompts are asked once, answers of earlier and of failed runs are taken from there, and the result can be read again.
+    Without one:
+
     `make_ask` runs once per partition, so that is where a client is made. Data goes through Arrow batches and other
     columns pass untouched. `tasks` bounds how many clients work at once. Use the result once or settle it: reading
     it again asks again.
     """
+    if ledger:
+        return answered(df, make_ask, _answers, ledger, model, uuid.uuid4().hex, prompt, answer, error, batch_rows)
     at = df.columns.index(prompt)
     schema = T.StructType(
         [*df.schema.fields, T.StructField(answer, T.StringType()), T.StructField(error, T.StringType())]

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions.masking import mask_pii
+from callsift.functions.once import pin
+from callsift.functions.records import record_line, record_spans, record_text
 from callsift.functions.text import long_enough, padded_id, repair_unicode, score_length
 from callsift.operators.dedup import keep_first_duplicate
 from callsift.operators.ids import number_by_position
 from callsift.operators.scoring import apply_filter, apply_modifiers
 from callsift.session import whole_job
-from callsift.sources.jsonl import check_lines, data_lines, record_line, record_parts
+from callsift.sources.jsonl import check_lines, data_lines
+from callsift.sources.publish import publish
 
 
 def clean_rows(docs: DataFrame, text: str = "text", least: int = V.MIN_LENGTH) -> DataFrame:
@@ -33,15 +36,15 @@ def curate(docs: DataFrame, row_id: str = "id", text: str = "text", least: int =
 def run_curation(spark: SparkSession, source: str, target: str) -> dict[str, float]:
     """Curate a JSON Lines data set into `target`; returns rows in, kept, removed and the removed share.
 
-    Records stay as they are: only `id` and `text` are replaced, and file_name is added. Lines are written once with
+    Records stay as they are: only `id` and `text` are replaced, and file_name is added; every other value is cut from its
+    line, and of a repeated key the last value counts. The old target stays until the new one is complete. Lines are written once with
     their number, which is their place in (file path, position) order; validation and curation read that table, and the
     kept rows are counted while they are written.
     """
     lines = number_by_position(data_lines(spark, source), "_position")
     rows_in = check_lines(lines, source)
-    values, strings = record_parts(F.col("value"))
-    parsed = lines.select(values.alias("_values"), strings.alias("_strings"), "_position", "file_path")
-    docs = parsed.withColumn("text", F.col("_values")["text"])
+    found = lines.withColumn("_spans", record_spans("value"))
+    docs = pin(found, "text", record_text(F.col("value"), F.col("_spans"), "text"))
     kept_rows = curate(docs, "_position")
     new = {
         "id": padded_id(f"{V.ID_PREFIX}-", F.col("_position"), 10),
@@ -49,7 +52,7 @@ def run_curation(spark: SparkSession, source: str, target: str) -> dict[str, flo
         "file_name": F.element_at(F.split("file_path", "/"), -1),
     }
     seen = Observation("curated")
-    shown = kept_rows.select(record_line(F.col("_values"), F.col("_strings"), new).alias("value"))
-    shown.observe(seen, F.count("*").alias("kept")).write.mode("overwrite").text(target)
+    shown = kept_rows.select(record_line(F.col("value"), F.col("_spans"), new).alias("value"))
+    publish(spark, target, shown.observe(seen, F.count("*").alias("kept")).write.text)
     kept = seen.get["kept"]
     return {"rows_in": rows_in, "kept": kept, "removed": rows_in - kept, "removed_share": (rows_in - kept) / rows_in}

@@ -59,11 +59,12 @@ def evaluate(
     return metrics
 
 
-def judge(pairs: DataFrame, make_worker: Callable, make_judge: Callable, order_by: list[str], **scoring) -> DataFrame:
+def judge(pairs: DataFrame, make_worker: Callable, make_judge: Callable, order_by: list[str], judge_name: str = "", **scoring) -> DataFrame:
     """The judge report: worker answer, label, and the verdict of a second model on them.
 
     Rows without a verdict stay, with null columns, as they count in the pass rate. Worker answers are settled before
-    the judge reads them. `order_by` must identify a row and be short: it is what the report is numbered by.
+    the judge reads them. `order_by` must identify a row and be short: it is what the report is numbered by. With a ledger,
+    the worker's answers are kept under `model`, the judge's under `judge_name`.
     """
     rows = report_row_number(drop_empty_input(pairs), order_by)
     rows = rows.select("id", F.col("input").alias("_text"), gold_plain(F.col("output")).alias("true_label"))
@@ -73,7 +74,7 @@ def judge(pairs: DataFrame, make_worker: Callable, make_judge: Callable, order_b
     shown = worked.withColumn("model_output", output).withColumn("model_prediction", parse_result_tag(output))
     done = shown.where("model_output is not null")
     asked = done.withColumn("prompt", prompts.messages_judge(F.col("_text"), F.col("true_label"), F.col("model_output")))
-    judged = score_with(asked.drop("error"), make_judge, answer="_verdict", **scoring)
+    judged = score_with(asked.drop("error"), make_judge, answer="_verdict", **{**scoring, "model": judge_name})
     report = judged.withColumn("judge_score", parse_judge(F.col("_verdict")))
     columns = ["id", "true_label", "model_prediction", "judge_score", "model_output", "error"]
     failed = shown.where("model_output is null").withColumn("judge_score", F.lit(None).cast("string"))

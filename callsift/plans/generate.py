@@ -29,12 +29,14 @@ def generate(
     attempts: int = 3,
     guarded: bool = True,
     seed: int = V.SPLIT_SEED,
+    judge_name: str = "",
     **scoring,
 ) -> DataFrame:
     """(id, text, label, score, attempt) of the first accepted attempt of each sample.
 
     The writer gets {messages, temperature, max_tokens}, the judge gets messages. Each attempt asks only for samples
-    that no earlier one settled, and its answers are written once.
+    that no earlier one settled, and its answers are written once. With a ledger, the writer's answers are kept under
+    `model`, the judge's under `judge_name`.
     """
     pending, accepted = plan, []
     for attempt in range(attempts):
@@ -50,7 +52,7 @@ def generate(
         raw = unwrap_guarded(F.col("_raw")) if guarded else strip(F.col("_raw"))
         texts = settle(written.withColumn("text", clean_answer(raw, missing_is_raw=guarded)).drop("_raw"), "texts")
         asked = texts.where("text is not null").withColumn("_ask", prompts.messages_quality(F.col("text")))
-        judged = score_with(asked, make_judge, "_ask", "_raw", "_error", **scoring)
+        judged = score_with(asked, make_judge, "_ask", "_raw", "_error", **{**scoring, "model": judge_name})
         scored = settle(judged.withColumn("score", judge_score(F.col("_raw"))).drop("_ask", "_raw", "_error"), "scored")
         taken = quality_gate(scored, least).withColumn("attempt", F.lit(attempt))
         accepted.append(taken.select("id", "text", "label", "score", "attempt"))

@@ -11,6 +11,7 @@ from callsift.operators.ids import position_fallback_id
 from callsift.operators.noise import inject_noise, noise_stats
 from callsift.session import settle, whole_job
 from callsift.sources.jsonl import RAW_CALL, read_jsonl_lenient, write_jsonl
+from callsift.sources.publish import publish
 
 
 def flat_calls(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -27,5 +28,5 @@ def run_noise(spark: SparkSession, source: str, target: str, seed: int = V.SPLIT
     stats = {r["branch"]: r["calls"] for r in noise_stats(calls, seed).collect()}
     if not stats:
         raise ValueError(f"{source}: no calls")
-    write_jsonl(inject_noise(calls, seed), target, mode="overwrite")
+    publish(spark, target, lambda beside: write_jsonl(inject_noise(calls, seed), beside))
     return {branch: stats.get(branch, 0) for branch in [*V.NOISE_SHARES, "clean"]}

@@ -9,6 +9,7 @@ from callsift.operators.labels import attach_gold, gold_last_wins, match_stats,
 from callsift.operators.splits import NAMES, split_by_order, split_sizes, with_order
 from callsift.session import settle, whole_job
 from callsift.sources.jsonl import DOCUMENT, GOLD, PLACE, read_jsonl_plain
+from callsift.sources.publish import publish
 
 
 def prepare_pairs(docs: DataFrame, gold: DataFrame, gold_order: list[str], seed: int = V.SPLIT_SEED) -> DataFrame:
@@ -40,7 +41,7 @@ def run_prepare_pairs(
     if not counts["matched"]:
         raise ValueError("no document has a gold label")
     pairs = pairs_of(docs, gold, seed)
-    pairs.write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("split").json(target)
+    publish(spark, target, pairs.write.option("ignoreNullFields", "false").partitionBy("split").json)
     written = spark.read.schema("input STRING, output STRING, split STRING").json(target)
     sizes = {r["split"]: r["rows"] for r in split_sizes(written).collect()}
     return counts | {name: sizes.get(name, 0) for name in NAMES}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from callsift.functions.jsontext import OPTIONS, has_key, is_json
+from callsift.functions.jsontext import OPTIONS, has_key, is_json, value_at
 from callsift.functions.text import strip
 from callsift.session import settle
+from callsift.sources.publish import publish
 
 DOCUMENT = "call_id STRING, id STRING, text STRING, is_clean BOOLEAN, noise_type STRING"
 RAW_CALL = "call_id STRING, id STRING, text STRING, response STRING"
@@ -52,7 +53,7 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: str = RAW_CALL, w
     good = is_json(F.col("value"))
     rows = _parsed(lines.where(good), schema, ["value", *(PLACE if with_order else [])])
     if "text" in rows.columns:  # a number or other value is no text
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("value"), "$.text", "variant"))
+        kind = F.schema_of_variant(value_at(F.col("value"), ".text", "variant"))
         rows = rows.withColumn("text", F.when(F.coalesce(kind, F.lit("STRING")) == "STRING", F.col("text")))
     return rows.drop("value"), lines.where(~good)
 
@@ -113,38 +114,11 @@ def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT) -> Da
     return rows.select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
-def _text_json(text: Column) -> Column:
-    whole = F.to_json(F.struct(text.alias("t")), {"ignoreNullFields": "false"})
-    return F.substring(F.left(whole, F.length(whole) - 1), 6, 2**31 - 1)
-
-
-def record_parts(line: Column) -> tuple[Column, Column]:
-    """(values, strings) of a JSON object in its own order: values as plain text, and the names of those that are strings.
-
-    A record that Spark's variant parser refuses (a string of over 20 million characters, NaN) does not tell strings from
-    other values; there a value that reads as JSON by itself is taken for that.
-    """
-    values = F.from_json(line, "map<string,string>", OPTIONS)
-    kinds = F.transform_values(F.try_variant_get(F.try_parse_json(line), "$", "map<string,variant>"), lambda k, v: F.schema_of_variant(v))
-    known = F.map_keys(F.map_filter(kinds, lambda k, v: v == "STRING"))
-    guessed = F.map_keys(F.map_filter(values, lambda k, v: ~is_json(v)))
-    return values, F.coalesce(known, guessed)
-
-
-def record_line(values: Column, strings: Column, replaced: dict[str, Column]) -> Column:
-    """The record as one JSON line, with some values replaced by texts; all others stay as they were, null or not."""
-    kept = F.map_filter(values, lambda k, v: ~k.isin(list(replaced)))
-    shown = lambda e: F.when(e["value"].isNull(), "null").when(F.array_contains(strings, e["key"]), _text_json(e["value"])).otherwise(e["value"])
-    others = F.transform(F.map_entries(kept), lambda e: F.concat(_text_json(e["key"]), F.lit(":"), shown(e)))
-    new = F.array(*[F.concat(F.lit(f'"{name}":'), _text_json(value)) for name, value in replaced.items()])
-    return F.concat(F.lit("{"), F.array_join(F.concat(new, others), ","), F.lit("}"))
-
-
 def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON object per line, UTF-8, null fields kept."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def write_curated(df: DataFrame, path: str) -> None:
-    """Replace the old output. The directory as a whole is the data set; every part is kept."""
-    write_jsonl(df, path, mode="overwrite")
+    """Replace the old output when the new one is complete. The directory as a whole is the data set; every part is kept."""
+    publish(df.sparkSession, path, lambda beside: write_jsonl(df, beside))

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsift.functions.text import one_line, strip
 from callsift.session import settle
 from callsift.sources.jsonl import write_jsonl
+from callsift.sources.paired import PairedSink, content_id
+from callsift.sources.publish import publish
+
+#: Names a batch by its samples.
+CONTENT = "content"
 
 
-def append_pair_sink(accepted: DataFrame, transcripts: str, gold: str, source: str) -> None:
-    """Append each accepted sample (id, text, label, score) to a transcript and a gold data set.
+def append_pair_sink(accepted: DataFrame, transcripts: str, gold: str, source: str, batch: str | None = None) -> bool:
+    """Append each accepted sample (id, text, label, score) to a transcript and a gold data set, as one batch.
 
-    The samples are settled first: answers are costly, and both outputs must come from the same ones.
+    The samples are settled first: answers are costly, and both outputs must come from the same ones. `batch` names them:
+    a batch that is in both already is not appended again (False), and one that a crash left in one of them is completed,
+    by whatever is appended next. CONTENT names samples by what they hold; without a name, every call is a batch of its own.
     """
     samples = settle(accepted.select("id", "text", "label", "score"), "accepted")
-    write_jsonl(samples.select("id", "text", F.lit(source).alias("source")), transcripts, mode="append")
-    write_jsonl(samples.select("id", "label", "score"), gold, mode="append")
+    sink = PairedSink(accepted.sparkSession, transcripts, gold)
+    name = content_id(samples) if batch == CONTENT else batch or uuid.uuid4().hex
+    return sink.append(samples.select("id", "text", F.lit(source).alias("source")), samples.select("id", "label", "score"), name)
 
 
 def judge_report(df: DataFrame) -> DataFrame:
@@ -32,12 +42,13 @@ def report_extract(df: DataFrame) -> DataFrame:
 
 def write_report_csv(df: DataFrame, path: str) -> None:
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    judge_report(df).write.mode("overwrite").options(header=True, escape='"', **blanks).csv(path)
+    publish(df.sparkSession, path, judge_report(df).write.options(header=True, escape='"', **blanks).csv)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
     """Input rows plus the stripped prediction."""
-    write_jsonl(df.withColumn("prediction", strip(F.col("prediction"))), path, mode="overwrite")
+    shown = df.withColumn("prediction", strip(F.col("prediction")))
+    publish(df.sparkSession, path, lambda beside: write_jsonl(shown, beside))
 
 
 def long_metrics(metrics: DataFrame, run: str, params: dict[str, str]) -> DataFrame:
@@ -60,4 +71,4 @@ def eval_table(df: DataFrame) -> DataFrame:
 
 
 def write_eval_table(df: DataFrame, path: str) -> None:
-    eval_table(df).write.mode("overwrite").parquet(path)
+    publish(df.sparkSession, path, eval_table(df).write.parquet)
