@@ -16,9 +16,8 @@ from callsift.session import settle
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: A line is boilerplate if more documents of its host hold it than both of these say.
+#: A line is boilerplate if more documents of its host hold it.
 LINE_DOCUMENTS = 20
-LINE_SHARE = 0.1
 #: A document is depleted if its boilerplate lines hold more than this share of its words.
 MOST_REMOVED_PERCENT = 50
 
@@ -80,37 +79,30 @@ def document_lines(text: str | None) -> list[tuple[int, int]]:
     return [(xxhash.xxh64_intdigest(utf8(x)) >> 1, whole) for x in set(lines)]
 
 
-def boilerplate_lines(df: DataFrame, text: str, host: str, least: int, share: float) -> DataFrame:
-    """host, lines: for each host the hashes of its boilerplate lines.
+def boilerplate_lines(rows: DataFrame, least: int) -> DataFrame:
+    """host, name, lines: the hashes of the boilerplate lines of each text that has some. `rows`: host, name, text.
 
-    Two aggregations with partial counts; rows that travel are one per (host, line, normalised text) and task. The list of
-    a host is bounded: each of its lines is in more than `share` of the documents, so there are at most (lines per
-    document) / share of them.
+    Lines are written once, with the text's name. A line's documents are counted with partial sums, and the few lines over
+    the limit meet the written rows by (host, line), which AQE can split. What is collected is a list of one text's lines.
     """
-    lone = F.coalesce(F.col(host).cast("string"), F.lit("\0"))
 
     def make():
         def work(columns):
-            hosts, hashes, texts = [], [], []
-            for h, value in zip(columns["host"].to_pylist(), columns["text"].to_pylist()):
-                rows = document_lines(value)
-                hosts += [h] * len(rows)
-                hashes += [x for x, _ in rows]
-                texts += [y for _, y in rows]
-            return {"host": hosts, "line": hashes, "whole": texts}
+            out = {x: [] for x in ("host", "name", "line", "whole")}
+            for host, name, text in zip(*(columns[x].to_pylist() for x in ("host", "name", "text"))):
+                found = document_lines(text)
+                out["host"] += [host] * len(found)
+                out["name"] += [name] * len(found)
+                out["line"] += [x for x, _ in found]
+                out["whole"] += [y for _, y in found]
+            return out
 
         return work
 
-    lines = map_columns(df.select(lone.alias("host"), F.col(text).alias("text")), make, "host string, line long, whole long")
-    often = lines.groupBy("host", "line", "whole").agg(F.lit(1).alias("one")).groupBy("host", "line").count()
-    sizes = df.groupBy(lone.alias("host")).agg(F.count("*").alias("documents"))
-    return (
-        often.where(F.col("count") > least)
-        .join(sizes, "host")
-        .where(F.col("count") > share * F.col("documents"))
-        .groupBy("host")
-        .agg(F.collect_set("line").alias("lines"))
-    )
+    lines = settle(map_columns(rows, make, "host string, name long, line long, whole long"), "lines")
+    often = lines.select("host", "line", "whole").distinct().groupBy("host", "line").count().where(F.col("count") > least)
+    bad = settle(often.select("host", "line"), "boilerplate")
+    return settle(lines.join(bad, ["host", "line"], "left_semi").groupBy("host", "name").agg(F.collect_set("line").alias("lines")), "of-texts")
 
 
 def apply_quality_rules(
@@ -118,42 +110,40 @@ def apply_quality_rules(
     text: str = "text",
     host: str = "source",
     least: int = LINE_DOCUMENTS,
-    share: float = LINE_SHARE,
     removed_percent: int = MOST_REMOVED_PERCENT,
 ) -> DataFrame:
     """Every row with its counts, the text without boilerplate lines, and the verdict.
 
     Adds (or replaces) n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_boilerplate_words,
-    clean_text and kept. Null text: no words, hence base_failed. Null hosts form one host of their own. Repeated rows
-    are judged alike; other columns pass through; an empty table gives an empty table.
+    clean_text and kept. A line goes if over `least` documents of its host hold it, as told apart by their whole
+    normalised texts; a document goes if such lines hold over `removed_percent` of its words. Null text: no words, hence
+    base_failed. Null hosts form one host of their own. Repeated rows are judged alike; other columns, of any name, pass
+    through; an empty table gives an empty table.
 
-    The text is read twice: once for the lines, once with the host's (few, written) boilerplate lines beside it. Catalyst
-    broadcasts that table only if its written size allows.
+    The text is read twice: once for the lines, once beside the list of its own boilerplate lines, found by host and a hash
+    of the text. Texts that share a hash share both lists, which changes nothing: a line goes only where it stands.
     """
     made = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
     made += "n_boilerplate_words long, clean_text string, kept boolean"
     names = [x.split()[0] for x in made.split(", ")]
-    rest = [f for f in df.schema.fields if f.name not in names]
-    bad = settle(boilerplate_lines(df, text, host, least, share), "boilerplate")
-    plain = df.select(*[F.col(f"`{f.name}`") for f in rest])
-    rows = plain.withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit("\0"))).join(
-        bad.withColumnsRenamed({"host": "_host", "lines": "_lines"}), "_host", "left"
-    )
-    passed = [f.name for f in rest]
+    rest = [(f"c{i}", f) for i, f in enumerate(df.schema.fields) if f.name not in names]
+    body = F.col(f"`{text}`")
+    rows = df.select(
+        *[F.col(f"`{f.name}`").alias(c) for c, f in rest],
+        F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\0")).alias("host"), F.xxhash64(body).alias("name"), body.alias("text"),
+    )
+    joined = rows.join(boilerplate_lines(rows.select("host", "name", "text"), least), ["host", "name"], "left")
 
     def make():
-        known: dict[tuple, frozenset] = {}
-
         def judge(value, lines):
             counts = base_counts(value)
             failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED_PERCENT * counts[0]
             clean, removed = value, 0
             if lines and value:
-                lines = known.setdefault(tuple(lines), frozenset(lines))
-                left = []
+                gone, left = set(lines), []
                 for line in value.split("\n"):
                     short = normal_line(line)
-                    if short and xxhash.xxh64_intdigest(utf8(short)) >> 1 in lines:
+                    if short and xxhash.xxh64_intdigest(utf8(short)) >> 1 in gone:
                         removed += len(utf8(line).split())
                     else:
                         left.append(line)
@@ -161,11 +151,11 @@ def apply_quality_rules(
             return *counts, failed, removed, clean, not failed and 100 * removed <= removed_percent * counts[0]
 
         def work(columns):
-            found = [judge(v, b) for v, b in zip(columns[text].to_pylist(), columns["_lines"].to_pylist())]
-            made_columns = dict(zip(names, map(list, zip(*found))))
-            return {k: columns[k] for k in passed} | made_columns
+            found = [judge(v, b) for v, b in zip(columns["text"].to_pylist(), columns["lines"].to_pylist())]
+            return {c: columns[c] for c, _ in rest} | dict(zip(names, map(list, zip(*found))))
 
         return work
 
-    schema = T.StructType(rest + T._parse_datatype_string(made).fields)
-    return map_columns(rows.select(*[F.col(f"`{x}`") for x in passed], "_lines"), make, schema)
+    schema = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in rest] + T._parse_datatype_string(made).fields)
+    out = map_columns(joined.select(*[c for c, _ in rest], "text", "lines"), make, schema)
+    return out.select(*[F.col(c).alias(f.name) for c, f in rest], *names)

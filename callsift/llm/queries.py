@@ -192,18 +192,15 @@ wi AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
 tri AS (SELECT doc_id, i, word || ' ' || lead(word) OVER v || ' ' || lead(word, 2) OVER v AS t FROM wi WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
 again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t) > 1 AS hit FROM tri WHERE t IS NOT NULL),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) WHERE hit GROUP BY doc_id),
-li AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d),
+sp AS (SELECT doc_id, host, string_split(text, chr(10)) AS parts FROM d),
+li AS (SELECT doc_id, host, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM sp),
 lw AS (SELECT *,
        regexp_replace(trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
        '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[0-9]+', '0', 'g') AS norm,
        len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM li),
 dup AS (SELECT doc_id, sum(n - 1)::BIGINT AS n FROM (SELECT doc_id, line, count(*) AS n FROM lw WHERE words > 0 GROUP BY ALL) GROUP BY doc_id),
-dl AS (SELECT DISTINCT doc_id, host, norm FROM lw WHERE norm <> ''),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(norm) DESC, norm) AS r FROM dl),
-other AS (SELECT a.doc_id, a.host, a.norm, CASE WHEN a.r = 1 THEN two.norm ELSE one.norm END AS longest FROM ranked a
-          LEFT JOIN ranked one ON one.doc_id = a.doc_id AND one.r = 1 LEFT JOIN ranked two ON two.doc_id = a.doc_id AND two.r = 2),
-often AS (SELECT host, norm, count(DISTINCT coalesce(longest, '')) AS n FROM other GROUP BY ALL),
-bad AS (SELECT o.host, o.norm FROM often o JOIN (SELECT host, count(*) AS n FROM d GROUP BY host) s USING (host) WHERE o.n > 20 AND o.n > 0.1 * s.n),
+whole AS (SELECT doc_id, string_agg(norm, chr(10) ORDER BY i) AS whole FROM lw WHERE norm <> '' GROUP BY doc_id),
+bad AS (SELECT host, norm FROM lw JOIN whole USING (doc_id) WHERE norm <> '' GROUP BY host, norm HAVING count(DISTINCT whole) > 20),
 cut AS (SELECT doc_id, sum(words)::BIGINT AS n FROM lw JOIN bad USING (host, norm) GROUP BY doc_id),
 c AS (SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
       length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,

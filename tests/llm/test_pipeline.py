@@ -1,12 +1,13 @@
 """Each stage of the pipeline against a plain version on its own input, then run() as their chain."""
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from callsift.llm import quality_rules as Q
 from callsift.llm.bpe import codec, vocabulary
 from callsift.llm.simhash import fingerprint
 from tests.llm.test_repeats import brute
@@ -35,21 +36,31 @@ def components(prints, radius=3):
     return [find(i) for i in range(len(prints))]
 
 
+def plain_line(line):
+    """Lower case, one space between words, runs of digits as 0; without the operator's helpers."""
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", line) if w]
+    return re.sub("[0-9]+", "0", " ".join("".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words))
+
+
+def count_words(text):
+    return len(re.findall("[^ \t\n\x0b\x0c\r]+", text))
+
+
 def expected_quality(rows):
-    lines, hosts = {}, {}
+    holders = {}
     for _, text, _, source, _ in rows:
-        hosts[source] = hosts.get(source, 0) + 1
-        for line, other in Q.document_lines(text):
-            lines.setdefault((source, line), set()).add(other)
-    bad = {k for k, v in lines.items() if len(v) > Q.LINE_DOCUMENTS and len(v) > Q.LINE_SHARE * hosts[k[0]]}
+        lines = [x for x in map(plain_line, (text or "").split("\n")) if x]
+        for line in lines:
+            holders.setdefault((source, line), set()).add("\n".join(lines))
+    bad = {k for k, v in holders.items() if len(v) > 20}
     out = []
     for name, text, lang, source, _ in rows:
-        n, _, _, _, again = Q.base_counts(text)
-        parts = (text or "").split("\n")
-        code = {x: h for x in parts for h, _ in Q.document_lines(x)}
-        left = [x for x in parts if (source, code.get(x)) not in bad]
-        gone = n - Q.base_counts("\n".join(left))[0]
-        if n >= 50 and 100 * again <= 50 * n and 100 * gone <= 50 * n:
+        words = re.findall("[^ \t\n\x0b\x0c\r]+", text or "")
+        windows = Counter(zip(words, words[1:], words[2:]))
+        again = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+        left = [x for x in (text or "").split("\n") if (source, plain_line(x)) not in bad]
+        gone = len(words) - count_words("\n".join(left))
+        if len(words) >= 50 and 100 * len(again) <= 50 * len(words) and 100 * gone <= 50 * len(words):
             clean = "\n".join(left) if gone else text
             out.append((name, clean, lang, source, len(clean)))
     return sorted(out, key=repr)
