@@ -18,6 +18,8 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 #: A line is boilerplate if more documents of its host hold it.
 LINE_DOCUMENTS = 20
+#: Boilerplate lines that are broadcast at most (about 100 bytes each); with more, texts are joined with their own.
+MOST_BROADCAST = 1 << 18
 #: A document is depleted if its boilerplate lines hold more than this share of its words.
 MOST_REMOVED_PERCENT = 50
 
@@ -79,12 +81,8 @@ def document_lines(text: str | None) -> list[tuple[int, int]]:
     return [(xxhash.xxh64_intdigest(utf8(x)) >> 1, whole) for x in set(lines)]
 
 
-def boilerplate_lines(rows: DataFrame, least: int) -> DataFrame:
-    """host, name, lines: the hashes of the boilerplate lines of each text that has some. `rows`: host, name, text.
-
-    Lines are written once, with the text's name. A line's documents are counted with partial sums, and the few lines over
-    the limit meet the written rows by (host, line), which AQE can split. What is collected is a list of one text's lines.
-    """
+def lines_of(rows: DataFrame) -> DataFrame:
+    """host, name, line, whole: the distinct lines of each text. `rows`: host, name, text."""
 
     def make():
         def work(columns):
@@ -99,10 +97,13 @@ def boilerplate_lines(rows: DataFrame, least: int) -> DataFrame:
 
         return work
 
-    lines = settle(map_columns(rows, make, "host string, name long, line long, whole long"), "lines")
-    often = lines.select("host", "line", "whole").distinct().groupBy("host", "line").count().where(F.col("count") > least)
-    bad = settle(often.select("host", "line"), "boilerplate")
-    return settle(lines.join(bad, ["host", "line"], "left_semi").groupBy("host", "name").agg(F.collect_set("line").alias("lines")), "of-texts")
+    return map_columns(rows, make, "host string, name long, line long, whole long")
+
+
+def boilerplate_lines(rows: DataFrame, least: int) -> DataFrame:
+    """host, line: the hashes of lines that over `least` texts of a host hold. Counted with partial sums."""
+    often = lines_of(rows).select("host", "line", "whole").distinct().groupBy("host", "line").count()
+    return settle(often.where(F.col("count") > least).select("host", "line"), "boilerplate")
 
 
 def apply_quality_rules(
@@ -111,6 +112,7 @@ def apply_quality_rules(
     host: str = "source",
     least: int = LINE_DOCUMENTS,
     removed_percent: int = MOST_REMOVED_PERCENT,
+    broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """Every row with its counts, the text without boilerplate lines, and the verdict.
 
@@ -120,8 +122,9 @@ def apply_quality_rules(
     base_failed. Null hosts form one host of their own. Repeated rows are judged alike; other columns, of any name, pass
     through; an empty table gives an empty table.
 
-    The text is read twice: once for the lines, once beside the list of its own boilerplate lines, found by host and a hash
-    of the text. Texts that share a hash share both lists, which changes nothing: a line goes only where it stands.
+    The text is read twice: once for the lines, once to judge it. Up to `broadcast` boilerplate lines, counted, go to every
+    task, and no text is shuffled. Beyond that, each text meets the list of its own such lines, by host and a hash of the
+    text; texts that share a hash share both lists, which changes nothing: a line goes only where it stands.
     """
     made = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
     made += "n_boilerplate_words long, clean_text string, kept boolean"
@@ -132,7 +135,17 @@ def apply_quality_rules(
         *[F.col(f"`{f.name}`").alias(c) for c, f in rest],
         F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("\0")).alias("host"), F.xxhash64(body).alias("name"), body.alias("text"),
     )
-    joined = rows.join(boilerplate_lines(rows.select("host", "name", "text"), least), ["host", "name"], "left")
+    named = rows.select("host", "name", "text")
+    bad = boilerplate_lines(named, least)
+    lists: dict[str, set[int]] = {}
+    if bad.count() <= broadcast:
+        for r in bad.collect():
+            lists.setdefault(r["host"], set()).add(r["line"])
+        rows = rows.withColumn("lines", F.lit(None).cast("array<long>"))
+    else:
+        own = lines_of(named).join(bad, ["host", "line"], "left_semi").groupBy("host", "name").agg(F.collect_set("line").alias("lines"))
+        rows = rows.join(settle(own, "of-texts"), ["host", "name"], "left")
+    shared = df.sparkSession.sparkContext.broadcast(lists)
 
     def make():
         def judge(value, lines):
@@ -140,10 +153,10 @@ def apply_quality_rules(
             failed = counts[0] < LEAST_WORDS or 100 * counts[4] > MOST_REPEATED_PERCENT * counts[0]
             clean, removed = value, 0
             if lines and value:
-                gone, left = set(lines), []
+                left = []
                 for line in value.split("\n"):
                     short = normal_line(line)
-                    if short and xxhash.xxh64_intdigest(utf8(short)) >> 1 in gone:
+                    if short and xxhash.xxh64_intdigest(utf8(short)) >> 1 in lines:
                         removed += len(utf8(line).split())
                     else:
                         left.append(line)
@@ -151,11 +164,13 @@ def apply_quality_rules(
             return *counts, failed, removed, clean, not failed and 100 * removed <= removed_percent * counts[0]
 
         def work(columns):
-            found = [judge(v, b) for v, b in zip(columns["text"].to_pylist(), columns["lines"].to_pylist())]
+            known, texts = shared.value, columns["text"].to_pylist()
+            gone = [known.get(h) or set(own or ()) for h, own in zip(columns["host"].to_pylist(), columns["lines"].to_pylist())]
+            found = list(map(judge, texts, gone))
             return {c: columns[c] for c, _ in rest} | dict(zip(names, map(list, zip(*found))))
 
         return work
 
     schema = T.StructType([T.StructField(c, f.dataType, f.nullable) for c, f in rest] + T._parse_datatype_string(made).fields)
-    out = map_columns(joined.select(*[c for c, _ in rest], "text", "lines"), make, schema)
+    out = map_columns(rows.select(*[c for c, _ in rest], "host", "text", "lines"), make, schema)
     return out.select(*[F.col(c).alias(f.name) for c, f in rest], *names)

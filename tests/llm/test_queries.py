@@ -55,7 +55,8 @@ def test_copies_do_not_make_their_lines_boilerplate(spark):
     assert not any(got[2000 + i]["kept"] for i in range(30))
 
 
-def test_shared_lines_are_counted_by_documents(spark):
+@pytest.mark.parametrize("broadcast", [Q.MOST_BROADCAST, 0])
+def test_shared_lines_are_counted_by_documents(spark, broadcast):
     """Two shared lines longer than any other; a plain count over sets of texts, without the operator's helpers."""
     draw = random.Random(4)
     sentence = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
@@ -69,7 +70,8 @@ def test_shared_lines_are_counted_by_documents(spark):
             holders.setdefault((host, line), set()).add(text)
     bad = {k for k, v in holders.items() if len(v) > 20}
     assert bad == {("h", shared[0]), ("h", shared[1])}
-    got = {r["doc_id"]: r for r in Q.apply_quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in Q.apply_quality_rules(df, broadcast=broadcast).collect()}
     for name, text, host in rows:
         left = [x for x in text.split("\n") if (host, x) not in bad]
         gone = len(text.split()) - len(" ".join(left).split())
