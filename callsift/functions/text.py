@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions.jsontext import whole_json
+from callsift.functions.once import let
 
 # Every code point that Python's str.strip() removes; Spark's trim() alone cuts plain spaces only.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -106,6 +107,54 @@ def repair_unicode(text: Column, pairs: list[tuple[str, str]] | None = None) ->
     return F.when(reduce(or_, [F.contains(text, F.lit(lead)) for lead in leads]), fixed).otherwise(text)
 
 
+def _misread_forms() -> str:
+    """Pattern of the two- to four-byte forms of UTF-8, with each byte read as a character of Latin-1."""
+    tail = "[\\x{80}-\\x{BF}]"
+    forms = [
+        f"[\\x{{C2}}-\\x{{DF}}]{tail}", f"\\x{{E0}}[\\x{{A0}}-\\x{{BF}}]{tail}", f"[\\x{{E1}}-\\x{{EC}}\\x{{EE}}\\x{{EF}}]{tail}{{2}}",
+        f"\\x{{ED}}[\\x{{80}}-\\x{{9F}}]{tail}", f"\\x{{F0}}[\\x{{90}}-\\x{{BF}}]{tail}{{2}}", f"[\\x{{F1}}-\\x{{F3}}]{tail}{{3}}", f"\\x{{F4}}[\\x{{80}}-\\x{{8F}}]{tail}{{2}}",
+    ]
+    return f"^(?:{'|'.join(forms)})"
+
+
+def _as_latin(text: Column) -> Column:
+    """Characters that Windows-1252 puts at bytes 80 to 9F, as the Latin-1 characters of those bytes."""
+    given = {b: bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    return F.translate(text, "".join(given.values()), "".join(chr(b) for b, c in given.items() if c))
+
+
+def _mend_layer(text: Column) -> Column:
+    """One reading undone: cut before each first byte of a form, and decode the form that a piece begins with."""
+
+    def mend(piece: Column) -> Column:
+        def decoded(latin: Column) -> Column:
+            form = F.regexp_extract(latin, _misread_forms(), 0)
+            clean = F.decode(F.encode(form, "ISO-8859-1"), "UTF-8")
+            return F.when(form == "", piece).otherwise(F.concat(clean, F.substring(piece, F.length(form) + 1, F.lit(2**31 - 1))))
+
+        return let(F.concat(_as_latin(F.left(piece, F.lit(4)))), decoded)
+
+    return F.array_join(F.transform(F.split(text, "(?=[\\x{C2}-\\x{F4}])"), mend), "")
+
+
+def repair_layers(text: Column) -> Column:
+    """Undo UTF-8 that was read as Latin-1 or Windows-1252, however often: forms of two, three and four bytes.
+
+    A reading turns every such character into at least two, so a text has no more layers than its length can be halved; each
+    layer is one scan, and the scans end at the first text without a form. Null stays null. Only whole, valid forms are
+    decoded; of characters that Windows-1252 lacks, those of Latin-1 are taken.
+    """
+    layers = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.length(text) + 1)).cast("int")))
+
+    def step(so_far: Column, _: Column) -> Column:
+        again = F.struct(let(so_far["text"], _mend_layer).alias("text"), so_far["text"].alias("before"))
+        return F.when(so_far["text"].eqNullSafe(so_far["before"]), so_far).otherwise(again)
+
+    first = F.struct(text.alias("text"), F.lit(None).cast("string").alias("before"))
+    whole = F.aggregate(layers, first, step, lambda done: done["text"])
+    return F.when(text.rlike("[\\x{C2}-\\x{F4}]"), whole).otherwise(text)
+
+
 def score_length(text: Column) -> Column:
     """Code points of the stripped text; 0 for null."""
     return F.coalesce(F.length(strip(text)), F.lit(0))
