@@ -48,23 +48,25 @@ TOOLS = {
 
 @query
 def op1_tool_calls(spark, folder):
-    """Every user turn as a call, every assistant turn as the result of the turn before it.
+    """Every turn of an assistant as the result of the turn before it, every other turn as a call.
 
     The conversations hold no calls of their own, so their turns are cast as calls: a user turn's call hangs on the call
-    two turns before, its arguments carry the whole text.
+    two turns before, its arguments carry the whole text. A turn of another role, or of none, is a call without a parent
+    of a tool named by the role, which no schema knows.
     """
     turns = table(spark, folder, "conversations")
     name = lambda t: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), t.cast("string"))
     text = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
     text = F.substr(text, F.lit(6), F.length(text) - 6)
-    calls = turns.where("role = 'user'").select(
+    user, role = F.col("role").eqNullSafe(F.lit("user")), F.to_json(F.struct(F.coalesce("role", F.lit("")).alias("r")))
+    calls = turns.where("NOT role <=> 'assistant'").select(
         F.col("conv_id").alias("group"),
         name(F.col("turn")).alias("call_id"),
-        F.when(F.col("turn") >= 2, name(F.col("turn") - 2)).alias("parent_id"),
-        F.when(F.col("turn") % 7 == 3, "note").when(F.col("turn") % 7 == 5, "other").otherwise("ask").alias("name"),
+        F.when(user & (F.col("turn") >= 2), name(F.col("turn") - 2)).alias("parent_id"),
+        F.when(~user, F.concat(F.lit("role:"), F.coalesce("role", F.lit("")))).when(F.col("turn") % 7 == 3, "note").when(F.col("turn") % 7 == 5, "other").otherwise("ask").alias("name"),
         F.concat(
             F.lit('{ "text": '), text, F.lit(', "n_chars": '), F.length(F.coalesce("text", F.lit(""))).cast("string"),
-            F.lit(', "at": {"turn": '), F.col("turn").cast("string"), F.lit(', "role": "user"} }'),
+            F.lit(', "at": {"turn": '), F.col("turn").cast("string"), F.lit(', "role": '), F.substr(role, F.lit(6), F.length(role) - 6), F.lit("} }"),
         ).alias("arguments"),
         "turn",
     )
@@ -75,18 +77,18 @@ def op1_tool_calls(spark, folder):
 
 SQL["op1_tool_calls"] = r"""
 WITH RECURSIVE c AS (
-  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, CASE WHEN turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS parent_id,
-         CASE WHEN turn % 7 = 3 THEN 'note' WHEN turn % 7 = 5 THEN 'other' ELSE 'ask' END AS name, coalesce(text, '') AS t FROM conversations WHERE role = 'user'),
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, CASE WHEN role = 'user' AND turn >= 2 THEN 'call_' || conv_id || '_' || (turn - 2) END AS parent_id, coalesce(role, '') AS role,
+         CASE WHEN role IS DISTINCT FROM 'user' THEN 'role:' || coalesce(role, '') WHEN turn % 7 = 3 THEN 'note' WHEN turn % 7 = 5 THEN 'other' ELSE 'ask' END AS name, coalesce(text, '') AS t FROM conversations WHERE role IS DISTINCT FROM 'assistant'),
 r AS (SELECT conv_id, 'call_' || conv_id || '_' || (turn - 1) AS call_id, turn AS result_turn, text AS content FROM conversations WHERE role = 'assistant'),
 d AS (SELECT c.conv_id, c.call_id, 0::BIGINT AS depth FROM c LEFT JOIN c p ON p.call_id = c.parent_id WHERE p.call_id IS NULL
       UNION ALL SELECT c.conv_id, c.call_id, d.depth + 1 FROM d JOIN c ON c.parent_id = d.call_id),
-j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.parent_id, c.name, c.turn, c.t,
+j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, c.parent_id, c.name, c.turn, c.t, c.role,
       r.content, r.result_turn, c.call_id IS NOT NULL AS has_call, r.call_id IS NOT NULL AS has_result FROM c FULL JOIN r ON c.call_id = r.call_id),
 a AS (SELECT j.*, d.depth, p.call_id IS NULL AS lost,
-      CASE WHEN has_call THEN '{"at":{"role":"user","turn":' || j.turn || '},"n_chars":' || length(j.t) || ',"text":' || to_json(j.t) || '}' END AS arguments
+      CASE WHEN has_call THEN '{"at":{"role":' || to_json(j.role) || ',"turn":' || j.turn || '},"n_chars":' || length(j.t) || ',"text":' || to_json(j.t) || '}' END AS arguments
       FROM j LEFT JOIN d ON d.call_id = j.call_id AND j.has_call LEFT JOIN c p ON p.call_id = j.parent_id)
 SELECT conv_id, call_id, parent_id, name, turn, arguments,
-  CASE WHEN NOT has_call THEN NULL WHEN name = 'other' THEN 'tool'
+  CASE WHEN NOT has_call THEN NULL WHEN name = 'other' OR starts_with(name, 'role:') THEN 'tool'
        WHEN name = 'note' THEN 'extra:at+n_chars'
        ELSE concat_ws(',', CASE WHEN length(t) < 1 OR length(t) > 400 THEN 'length:text' END, CASE WHEN length(t) < 1 OR length(t) > 300 THEN 'range:n_chars' END) END AS errors,
   content, result_turn, has_call::BIGINT AS n_calls, has_result::BIGINT AS n_results, depth,

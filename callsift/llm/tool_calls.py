@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callsift.functions.jsontext import OPTIONS
 from callsift.functions.once import pin
 from callsift.session import settle
 
 #: What Spark's description of a JSON value begins with, for each type name of a schema.
-KINDS = {"integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL"], "string": ["STRING"], "boolean": ["BOOLEAN"]}
+KINDS = {"number": ["BIGINT", "DOUBLE", "DECIMAL"], "string": ["STRING"], "boolean": ["BOOLEAN"]}
 KINDS |= {"object": ["OBJECT"], "array": ["ARRAY"], "null": ["VOID"]}
 
 
 def json_value(text: Column) -> Column:
-    """The text as a variant; null if the whole text is not one JSON value (Spark alone ignores what follows it)."""
+    """The text as a variant; null if the whole text is not one JSON value (Spark alone ignores what follows it).
+
+    Strings may have any length up to that of a variant (128 MB); a value with a repeated key is null.
+    """
     mark = F.md5(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return F.when(F.try_variant_get(pair, "$[1]", "string") == mark, F.try_variant_get(pair, "$[0]", "variant"))
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<variant>", OPTIONS)
+    last = F.try_variant_get(F.try_element_at(both, F.lit(2)), "$", "string")
+    return F.when((F.size(both) == 2) & (last == mark), F.try_element_at(both, F.lit(1)))
 
 
 def canonical_json(value: Column) -> Column:
-    """Compact JSON with the keys of every object in order and numbers in one form."""
+    """Compact JSON with the keys of every object in order; numbers as a variant writes them (whole decimals without a point)."""
     return F.to_json(value)
 
 
@@ -40,7 +47,10 @@ def argument_errors(value: Column, schema: dict) -> Column:
         for name, rule in schema.get("properties", {}).items():
             inner = F.try_variant_get(value, f"$['{name}']", "variant")
             there, kind = inner.isNotNull(), F.schema_of_variant(inner)
-            right = _is(kind, rule["type"])
+            right = _is(kind, "number" if rule["type"] == "integer" else rule["type"])
+            if rule["type"] in ("integer", "number"):  # finite, and whole where that is asked, whatever the spelling
+                size = F.when(right, F.try_variant_get(inner, "$", "double"))
+                right = right & F.coalesce((F.abs(size) <= sys.float_info.max) & ((size % 1 == 0) if rule["type"] == "integer" else F.lit(True)), F.lit(False))
             if name in schema.get("required", ()):
                 found.append(F.when(~there, F.lit(f"missing:{path}{name}")))
             found.append(F.when(there & ~right, F.lit(f"type:{path}{name}")))

@@ -279,3 +279,15 @@ def test_long_chain_in_any_order(spark):
 def test_tool_calls_run_no_python(spark):
     plan = QUERIES["op1_tool_calls"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_numbers_of_any_spelling_and_long_arguments(spark):
+    schema = {"t": {"properties": {"i": {"type": "integer"}, "n": {"type": "number", "maximum": 10}, "s": {"type": "string"}}, "closed": True}}
+    cases = {'{"i":3.0}': "", '{"i":12345678901234567890}': "", '{"i":1e2}': "", '{"i":1.5}': "type:i", '{"i":"3"}': "type:i", '{"n":1e400}': "type:n", '{"n":1e1}': "", '{"n":10.5}': "range:n", '{"i":1}x': "json"}
+    long = '{"s":"' + "x" * 21_000_000 + '"}'
+    rows = [(1, f"c{i}", None, "t", a, i) for i, a in enumerate([*cases, long])]
+    calls = spark.createDataFrame(rows, "group long, call_id string, parent_id string, name string, arguments string, turn long")
+    results = spark.createDataFrame([], "group long, call_id string, content string, turn long")
+    got = {r["call_id"]: r for r in C.link_tool_calls(calls, results, schema).selectExpr("call_id", "array_join(errors, ',') AS errors", "length(arguments) AS size").collect()}
+    assert [got[f"c{i}"]["errors"] for i in range(len(cases))] == list(cases.values())
+    assert got[f"c{len(cases)}"]["errors"] == "" and got[f"c{len(cases)}"]["size"] == len(long)
