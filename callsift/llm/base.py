@@ -49,6 +49,12 @@ def rows_of(columns: dict[str, pa.Array], names: tuple[str, ...], at_once: int =
         yield from zip(*(columns[x].slice(start, at_once).to_pylist() for x in names))
 
 
+def slices(columns: dict[str, pa.Array], at_once: int = 500) -> Iterator[dict[str, pa.Array]]:
+    """The columns a few rows at a time, so that only those become Python values."""
+    for start in range(0, len(next(iter(columns.values()))), at_once):
+        yield {name: column.slice(start, at_once) for name, column in columns.items()}
+
+
 def portions(values: list, size: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive values whose lengths sum to about `size`; a longer value is a range of its own."""
     start, total = 0, 0

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsift.llm.base import map_columns, rows_of, utf8
+from callsift.llm.base import map_columns, rows_of, slices, utf8
 from callsift.operators.ids import number_by_key
 from callsift.session import settle
 
@@ -279,8 +279,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
 
     def hashes_only():
         def work(columns):
-            found = [contexts(t, length, seed) for t in columns["text"].to_pylist()]
-            return {"hash": np.concatenate([x for f in found for x in (f[0], f[0][f[3]])]).view(np.int64)}
+            for some in slices(columns):
+                found = [contexts(t, length, seed)[:4] for t in some["text"].to_pylist()]
+                yield {"hash": np.concatenate([x for f in found for x in (f[0], f[0][f[3]])]).view(np.int64)}
 
         return work
 
@@ -291,6 +292,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
         known = shared.value
 
         def work(columns):
+            for some in slices(columns, 2000):
+                yield found_in(some)
+
+        def found_in(columns):
             out = {x: [] for x in ("hash", "whole", "doc", "key", "at", "n", "twice")}
             for doc, key, text in rows_of(columns, ("doc", "key", "text")):
                 found, at, n, twice, data = contexts(text, length, seed)
@@ -430,11 +435,12 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
     def make():
         def work(columns):
-            data = [utf8(t) for t in columns["text"].to_pylist()]
-            kept, removed, count = zip(*map(cut_spans, data, columns["spans"].to_pylist()))
-            left = [k.decode("utf-8", "ignore") for k in kept]
-            found = {"n_bytes": list(map(len, data)), "n_removed": list(removed), "n_spans": list(count), "kept": list(kept), "kept_text": left}
-            return {name: columns[name] for name, _ in rest} | found
+            for some in slices(columns):
+                data = [utf8(t) for t in some["text"].to_pylist()]
+                kept, removed, count = zip(*map(cut_spans, data, some["spans"].to_pylist()))
+                left = [k.decode("utf-8", "ignore") for k in kept]
+                found = {"n_bytes": list(map(len, data)), "n_removed": list(removed), "n_spans": list(count), "kept": list(kept), "kept_text": left}
+                yield {name: some[name] for name, _ in rest} | found
 
         return work
 
