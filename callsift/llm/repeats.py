@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsift.llm.base import map_columns, rows_of, slices, utf8
+from callsift.llm.base import map_columns, portions, rows_of, slices, utf8
 from callsift.operators.ids import number_by_key
 from callsift.session import settle
 
@@ -25,6 +25,8 @@ SEED = 24
 #: Contexts, in bytes: of a bucket that one task merges, of a shard in it, and of one hash, filed twice, beyond which its windows
 #: are compared one by one.
 BUCKET, SHARD, HOT = 1 << 19, 1 << 17, 1 << 20
+#: Bytes of texts that are hashed at once, about: few calls for short texts, and arrays that stay in the cache.
+STRETCH = 1 << 15
 #: Bits of the filter that spares the exact join most hashes without a repeat; fixed, so that its broadcast never grows.
 FILTER_BITS = 28
 #: Makes the hashes of the second filing differ from those of the first.
@@ -66,23 +68,43 @@ def filed_windows(data: bytes, length: int, seed: int, salt: int = 0) -> tuple[n
     """The hash that each window of the data is filed under, and those that the data has short strings of at several places."""
     hashes, width = seed_hashes(np.frombuffer(data, np.uint8), seed, salt), length - seed + 1
     filed = sliding_minimum(hashes, width)
-    edge = np.zeros(width - 1, np.uint64)  # a place is the smallest of a window if no window over it has a larger minimum
-    chosen = np.sort(hashes[hashes == ~sliding_minimum(~np.concatenate([edge, filed, edge]), width)])
+    chosen = np.sort(hashes[smallest_somewhere(hashes, filed, width)])
     return filed, np.unique(chosen[1:][chosen[1:] == chosen[:-1]])
 
 
-def contexts(text: str | None, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """hash, start, byte length and `twice` of each context of a text, and the text's bytes.
+def smallest_somewhere(hashes: np.ndarray, filed: np.ndarray, width: int) -> np.ndarray:
+    """Which places hold the smallest hash of a window; a window filed under 0 counts as none."""
+    edge = np.zeros(width - 1, np.uint64)  # a place is the smallest of a window if no window over it has a larger minimum
+    return hashes == ~sliding_minimum(~np.concatenate([edge, filed, edge]), width)
+
+
+def contexts(texts: list[bytes], length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, ...]:
+    """text (its place in the list), hash, start in it, byte length and `twice` of each context of some texts, in their order.
 
     twice: the text has short strings of that hash at several places, so that the context may repeat a part of itself.
+    The texts are hashed end to end; windows over a border are left out.
     """
-    data = utf8(text)
-    if len(data) < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), data
-    filed, again = filed_windows(data, length, seed)
+    some = [i for i, t in enumerate(texts) if len(t) >= length]
+    if not some:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    sizes = np.array([len(texts[i]) for i in some])
+    begin = np.cumsum(sizes) - sizes
+    hashes, width = seed_hashes(np.frombuffer(b"".join(texts[i] for i in some), np.uint8), seed), length - seed + 1
+    hashes = np.maximum(hashes, np.uint64(1))  # 0 is for windows over a border
+    filed = sliding_minimum(hashes, width)
+    for end in (begin[1:] - length + 1).tolist():
+        filed[end : end + length - 1] = 0
+    places = np.flatnonzero(smallest_somewhere(hashes, filed, width))
+    mark = np.arange(len(some), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # tells equal hashes of different texts apart
+    chosen = np.sort(hashes[places] ^ mark[np.searchsorted(begin, places, side="right") - 1])
+    again = chosen[1:][chosen[1:] == chosen[:-1]]
     starts = np.flatnonzero(np.concatenate([[True], filed[1:] != filed[:-1]]))
-    sizes = np.diff(np.append(starts, len(filed))) + length - 1
-    return filed[starts], starts, sizes, np.isin(filed[starts], again), data
+    ends = np.append(starts[1:], len(filed))
+    real = filed[starts] > 0
+    starts, ends = starts[real], ends[real]
+    owner = np.searchsorted(begin, starts, side="right") - 1
+    twice = np.isin(filed[starts] ^ mark[owner], again) if len(again) else np.zeros(len(starts), bool)
+    return np.array(some)[owner], filed[starts], starts - begin[owner], ends - starts + length - 1, twice
 
 
 def filed_again(data: bytes, wanted: list, length: int, seed: int, salt: int) -> tuple[np.ndarray, ...]:
@@ -280,8 +302,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
     def hashes_only():
         def work(columns):
             for some in slices(columns):
-                found = [contexts(t, length, seed)[:4] for t in some["text"].to_pylist()]
-                yield {"hash": np.concatenate([x for f in found for x in (f[0], f[0][f[3]])]).view(np.int64)}
+                data = [utf8(t) for t in some["text"].to_pylist()]
+                found = [contexts(data[a:b], length, seed) for a, b in portions(data, STRETCH)]
+                yield {"hash": np.concatenate([x for f in found for x in (f[1], f[1][f[4]])]).view(np.int64)}
 
         return work
 
@@ -292,25 +315,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET,
         known = shared.value
 
         def work(columns):
-            for some in slices(columns, 2000):
-                yield found_in(some)
-
-        def found_in(columns):
-            out = {x: [] for x in ("hash", "whole", "doc", "key", "at", "n", "twice")}
-            for doc, key, text in rows_of(columns, ("doc", "key", "text")):
-                found, at, n, twice, data = contexts(text, length, seed)
-                slot = found & np.uint64((1 << FILTER_BITS) - 1)
-                keep = np.flatnonzero(known[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & np.uint32(1))
-                at, n = at[keep], n[keep]
-                view = memoryview(data)
-                out["hash"].append(found[keep].view(np.int64))
-                out["whole"].append(np.array([xxhash.xxh3_64_intdigest(view[a : a + b]) for a, b in zip(at.tolist(), n.tolist())], np.uint64).view(np.int64))
-                out["doc"].append(np.full(len(at), doc, np.int64))
-                out["key"].append(np.full(len(at), key, np.int64))
-                out["at"].append(at.astype(np.int32))
-                out["n"].append(n.astype(np.int32))
-                out["twice"].append(twice[keep])
-            return {x: pa.array(np.concatenate(v)) for x, v in out.items()}
+            for some in slices(columns):
+                data = [utf8(t) for t in some["text"].to_pylist()]
+                for a, b in portions(data, STRETCH):
+                    yield found_in(data[a:b], some["doc"].slice(a, b - a).to_numpy(), some["key"].slice(a, b - a).to_numpy())
+
+        def found_in(texts, doc, key):
+            owner, found, at, n, twice = contexts(texts, length, seed)
+            slot = found & np.uint64((1 << FILTER_BITS) - 1)
+            keep = np.flatnonzero(known[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & np.uint32(1))
+            owner, at, n = owner[keep], at[keep], n[keep]
+            views = [memoryview(t) for t in texts]
+            whole = [xxhash.xxh3_64_intdigest(views[i][a : a + b]) for i, a, b in zip(owner.tolist(), at.tolist(), n.tolist())]
+            columns = (found[keep].view(np.int64), np.array(whole, np.uint64).view(np.int64), doc[owner], key[owner], at.astype(np.int32), n.astype(np.int32), twice[keep])
+            return {x: pa.array(v) for x, v in zip(("hash", "whole", "doc", "key", "at", "n", "twice"), columns)}
 
         return work
 
