@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as V
 from callsift.functions import answers as an
-from callsift.operators import ids, labels, metrics, scoring, splits
+from callsift.operators import ids, labels, metrics, scoring, similarity, splits
 from callsift.plans.pairs import prepare_pairs
 from callsift.workload import frames as fr
 
@@ -191,6 +191,41 @@ def semantic_similarity(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.join(after, "vec_id").select("vec_id", F.round(close, 6).alias("similarity"))
 
 
+def answer_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold output and model answer of every row, compared as texts."""
+    rows = similarity.text_similarity(fr.answers(spark, folder), "output", "answer")
+    return rows.select("doc_id", F.round("similarity", 6).alias("similarity"))
+
+
+def text_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text and its successor, whole."""
+    docs = fr.table(spark, folder, "documents").select("doc_id", "text")
+    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
+    rows = similarity.text_similarity(docs.join(after, "doc_id"), "text", "next")
+    return rows.select("doc_id", F.round("similarity", 6).alias("similarity"))
+
+
+def mean_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    rows = answer_similarity(spark, folder)
+    return similarity.mean_similarity(rows).withColumn("mean_similarity", F.round("mean_similarity", 6))
+
+
+def similarity_sql(pairs: str) -> str:
+    """Tables that end in `close` (doc_id, similarity) for `pairs` (doc_id, l, r)."""
+    return f"""pairs AS ({pairs}),
+  sides AS (SELECT doc_id, 'l' AS side, l AS words FROM pairs UNION ALL SELECT doc_id, 'r', r FROM pairs),
+  words AS (SELECT doc_id, side, unnest(regexp_extract_all(lower(coalesce(words, '')), '[\\p{{L}}\\p{{N}}]+')) AS word FROM sides),
+  counted AS (SELECT doc_id, side, ('0x' || substr(md5(word), 1, 8))::BIGINT % {similarity.SLOTS} AS slot, count(*) AS n FROM words GROUP BY ALL),
+  rarity AS (SELECT slot, ln((1 + (SELECT count(*) FROM sides)) / (1 + count(*))) + 1 AS weight FROM counted GROUP BY slot),
+  vectors AS (SELECT doc_id, side, slot, n * weight AS x FROM counted JOIN rarity USING (slot)),
+  norms AS (SELECT doc_id, side, sqrt(sum(x * x)) AS norm FROM vectors GROUP BY ALL),
+  products AS (SELECT a.doc_id, sum(a.x * b.x) AS dot FROM vectors a JOIN vectors b ON a.doc_id = b.doc_id AND a.slot = b.slot
+    WHERE a.side = 'l' AND b.side = 'r' GROUP BY a.doc_id),
+  close AS (SELECT p.doc_id, CASE WHEN a.norm * b.norm > 0 THEN round(least(1.0, coalesce(d.dot, 0) / (a.norm * b.norm)), 6) END AS similarity FROM pairs p
+    LEFT JOIN products d ON d.doc_id = p.doc_id LEFT JOIN norms a ON a.doc_id = p.doc_id AND a.side = 'l'
+    LEFT JOIN norms b ON b.doc_id = p.doc_id AND b.side = 'r')"""
+
+
 def fraud_counter(spark: SparkSession, folder: str) -> DataFrame:
     rows = fr.answers(spark, folder).select(an.parse_contains(F.col("answer")).alias("label"))
     return metrics.fraud_counter(rows)
@@ -254,6 +289,9 @@ QUERIES = {
     "exact_match": exact_match,
     "run_metrics": run_metrics,
     "semantic_similarity": semantic_similarity,
+    "answer_similarity": answer_similarity,
+    "text_similarity": text_similarity,
+    "mean_similarity": mean_similarity,
     "fraud_counter": fraud_counter,
     "zip_predictions": zip_predictions,
     "align_runs": align_runs,
@@ -397,6 +435,11 @@ SQL = {
   {run_metrics_sql('mode')}""",
     "semantic_similarity": "SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity "
     "FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
+    "answer_similarity": f"{_ANSWERS}, {similarity_sql('SELECT doc_id, output AS l, answer AS r FROM answers')} SELECT * FROM close",
+    "text_similarity": f"WITH {similarity_sql('SELECT a.doc_id, a.text AS l, b.text AS r FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1')} "
+    "SELECT * FROM close",
+    "mean_similarity": f"{_ANSWERS}, {similarity_sql('SELECT doc_id, output AS l, answer AS r FROM answers')} "
+    "SELECT round(avg(similarity), 6) AS mean_similarity, count(similarity) AS compared, count(*) AS total FROM close",
     "fraud_counter": f"{_SCORED} SELECT count_if(pred = 'fraud') AS fraud_calls_total FROM scored",
     "zip_predictions": f"{_ANSWERS} SELECT doc_id AS row_id, input, output, answer AS prediction FROM answers",
     "align_runs": f"{_ANSWERS} SELECT doc_id AS row_id, {_FIRST_OUTPUT} AS gold, {_FIRST_ANSWER} AS base_pred, {_BINARY} AS tuned_pred FROM answers",
