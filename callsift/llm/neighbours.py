@@ -9,14 +9,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callsift.llm.base import map_columns
+from callsift.llm.base import map_columns, slices
 from callsift.session import settle
 
 #: Rows that centroids and the number of probes are fitted on, about.
 SAMPLE = 20_000
-#: Distinct vectors per list, about, and in a cell (a part of a list that one task scans) at most about.
+#: Distinct vectors per list, about, up to MOST_LISTS lists.
 CELL = 2048
 MOST_LISTS = 4096
+#: What one task holds at a time, about: bytes of a list's vectors (a cell), and queries of a list (a group). A list of more is
+#: scanned cell by cell and group by group; most lists are one cell and one group, so that a row is sent once a list.
+CELL_BYTES, GROUP = 1 << 24, 4096
+#: Partial distances that a scan holds at once.
+GRID = 1 << 22
 #: Share of the true neighbours that the probed lists must hold on the sample.
 RECALL = 0.98
 BLOCK = 16
@@ -26,13 +31,17 @@ STRICTNESS = 2.1
 
 @dataclass
 class Index:
-    """centroids (list x dimension), probes, rotation (dimension x dimension), first cell and number of cells of each list."""
+    """centroids (list x dimension), probes, rotation (dimension x dimension), and for each list its first place, cells and groups.
+
+    A place is one cell against one group of queries.
+    """
 
     centroids: np.ndarray
     probes: int
     rotation: np.ndarray
     first: np.ndarray
     cells: np.ndarray
+    groups: np.ndarray
 
 
 def unit_rows(data: list[bytes]) -> np.ndarray:
@@ -85,6 +94,11 @@ def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
     return map_columns(rows, make, "key long, vec binary")
 
 
+def spread(names: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """A part from 0 to parts - 1 for each name."""
+    return ((names.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
+
+
 def scan_cell(base: np.ndarray, names: np.ndarray, queries: np.ndarray, rotation: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query, base row, cosine) of the k best of a cell for each query, ties to the smaller name.
 
@@ -99,10 +113,13 @@ def scan_cell(base: np.ndarray, names: np.ndarray, queries: np.ndarray, rotation
     edges = [*range(0, d, BLOCK), d]
     blocks = [np.ascontiguousarray(rotated[:, a:b]) for a, b in zip(edges, edges[1:])]
     parts = [turned[:, a:b] for a, b in zip(edges, edges[1:])]
-    first = (blocks[0] ** 2).sum(axis=1) - 2 * parts[0] @ blocks[0].T + (parts[0] ** 2).sum(axis=1)[:, None]
+    size, at_once = (blocks[0] ** 2).sum(axis=1), max(1, GRID // max(1, len(base)))
     found = []
     for j in range(len(queries)):
-        partial = first[j]
+        if j % at_once == 0:
+            some = parts[0][j : j + at_once]
+            first = size - 2 * some @ blocks[0].T + (some**2).sum(axis=1)[:, None]
+        partial = first[j % at_once]
         start = np.argpartition(partial, min(4 * k, len(base)) - 1)[: 4 * k]
         whole = ((rotated[start] - turned[j]) ** 2).sum(axis=1)
         limit = np.sort(whole)[min(k, len(whole)) - 1] if len(base) > k else np.inf
@@ -124,8 +141,10 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 5, key: str =
 
     Equal vectors are one point that knows its k + 1 smallest keys, the only ones that a result can hold, so groups of
     copies cost nothing; a query's own key is no result, also where it repeats. Centroids and the number of probes come
-    from about `sample` points; every point is in the index. Lists are divided into cells of about CELL points, each
-    scanned by one task against the queries that probe its list. Unusable vectors (see `usable`) take no part.
+    from about `sample` points; every point is in the index. A query is sent to the lists that it probes; lists of over
+    CELL_BYTES are divided into cells, and queries of a list into groups of about GROUP, each cell scanned against each
+    group, so that a list may hold any share of the points or queries. Equal scores are in order of the key. An empty
+    table gives no row. Unusable vectors (see `usable`) take no part.
     """
     spark = df.sparkSession
     rows = settle(usable(df, key, vector), "vectors")
@@ -160,30 +179,49 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 5, key: str =
     sizes = np.zeros(len(centroids), np.int64)
     for r in listed.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
-    cells = np.maximum(1, -(-sizes // CELL))
     d = centroids.shape[1]
+    asked = settle(queries.select(F.col(key).cast("long").alias("query_id")).where("query_id IS NOT NULL").distinct().join(rows, F.col("query_id") == F.col("key")).select("query_id", "vec").distinct(), "queries")
+    distinct = settle(asked.groupBy("vec").agg(F.min("query_id").alias("query")), "distinct-queries")
+
+    def probed(vectors: list, centres: np.ndarray) -> np.ndarray:
+        return np.argsort(-(unit_rows(vectors) @ centres.T), axis=1, kind="stable")[:, :probes]
+
+    def lists_asked():
+        return lambda columns: {"list": probed(columns["vec"].to_pylist(), centres.value).ravel().astype(np.int32)}
+
+    wanted_by = np.zeros(len(centroids), np.int64)
+    for r in map_columns(distinct.select("vec"), lists_asked, "list int").groupBy("list").count().collect():
+        wanted_by[r["list"]] = r["count"]
+    cells, groups = np.maximum(1, -(-sizes // max(1, CELL_BYTES // (8 * d)))), np.maximum(1, -(-wanted_by // GROUP))
     rotation = np.linalg.qr(np.random.default_rng(11).standard_normal((d, d)))[0]
-    shared = spark.sparkContext.broadcast(Index(centroids, probes, rotation, np.cumsum(cells) - cells, cells))
+    shared = spark.sparkContext.broadcast(Index(centroids, probes, rotation, np.cumsum(cells * groups) - cells * groups, cells, groups))
+
+    def every(start: np.ndarray, step: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row `times` places from `start` on, `step` apart: the row and the place."""
+        row = np.repeat(np.arange(len(times)), times)
+        return row, start[row] + (np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)) * step[row]
 
     def place():
         def work(columns):
-            index, lists, names = shared.value, columns["list"].to_numpy(), columns["point"].to_numpy()
-            spread = (names.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            return {"cell": index.first[lists] + spread.astype(np.int64) % index.cells[lists], "point": columns["point"], "vec": columns["vec"]}
+            index, lists = shared.value, columns["list"].to_numpy()
+            cell = spread(columns["point"].to_numpy(), index.cells[lists])
+            row, at = every(index.first[lists] + cell * index.groups[lists], np.ones(len(lists), np.int64), index.groups[lists])
+            return {"cell": at, "point": columns["point"].take(pa.array(row)), "vec": columns["vec"].take(pa.array(row))}
 
         return work
 
     def probe():
         def work(columns):
-            index, close = shared.value, unit_rows(columns["vec"].to_pylist()) @ shared.value.centroids.T
-            found = [(index.first[x] + c, i) for i, row in enumerate(np.argsort(-close, axis=1, kind="stable")[:, : index.probes]) for x in row for c in range(index.cells[x])]
-            take = pa.array([i for _, i in found], pa.int64())
-            return {"cell": [int(c) for c, _ in found], "query": columns["query"].take(take), "vec": columns["vec"].take(take)}
+            for some in slices(columns):
+                index, lists = shared.value, probed(some["vec"].to_pylist(), centres.value)
+                owner, lists = np.repeat(np.arange(len(lists)), lists.shape[1]), lists.ravel()
+                group = spread(some["query"].to_numpy()[owner], index.groups[lists])
+                row, at = every(index.first[lists] + group, index.groups[lists], index.cells[lists])
+                take = pa.array(owner[row])
+                yield {"cell": at, "query": some["query"].take(take), "vec": some["vec"].take(take)}
 
         return work
 
-    asked = settle(queries.select(F.col(key).cast("long").alias("query_id")).where("query_id IS NOT NULL").distinct().join(rows, F.col("query_id") == F.col("key")).select("query_id", "vec").distinct(), "queries")
-    distinct = asked.groupBy("vec").agg(F.min("query_id").alias("query"))
     base = map_columns(listed, place, "cell long, point long, vec binary")
     routed = map_columns(distinct, probe, "cell long, query long, vec binary")
 
@@ -191,11 +229,8 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 5, key: str =
         found = []
         if left.num_rows and right.num_rows:
             stack = lambda t: np.frombuffer(b"".join(t.column("vec").to_pylist()), "<f8").reshape(t.num_rows, -1)
-            names = left.column("point").to_numpy()
-            for at in range(0, right.num_rows, 1024):
-                some = right.slice(at, 1024)
-                asked_here = some.column("query").to_pylist()
-                found += [(asked_here[q], int(names[i]), s) for q, i, s in scan_cell(stack(left), names, stack(some), shared.value.rotation, k + 1)]
+            names, asked_here = left.column("point").to_numpy(), right.column("query").to_pylist()
+            found = [(asked_here[q], int(names[i]), s) for q, i, s in scan_cell(stack(left), names, stack(right), shared.value.rotation, k + 1)]
         columns = list(zip(*found)) or [[], [], []]
         return pa.table({"query": pa.array(columns[0], pa.int64()), "point": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 

@@ -74,3 +74,24 @@ def test_recall_over_many_lists(spark, monkeypatch):
     assert len(centroids) == 50 and probes <= 25, probes
     hit = sum(len({a for a, _ in got[q]} & {a for a, _ in wanted[q]}) for q in wanted)
     assert hit >= 0.95 * sum(map(len, wanted.values()))
+
+
+def test_lists_of_several_cells_and_groups(spark, monkeypatch):
+    """A list that holds a third of the points and is probed by a third of the queries, cut into cells and groups."""
+    monkeypatch.setattr(N, "CELL", 100)
+    draw = np.random.default_rng(9)
+    centres = draw.standard_normal((10, 16))
+    which = np.where(draw.random(2000) < 1 / 3, 0, draw.integers(0, 10, 2000))
+    rows = centres[which] + 0.3 * draw.standard_normal((2000, 16))
+    df = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    whole = by_query(N.nearest_neighbours(df, df.where("vec_id % 20 = 0")).collect())
+    monkeypatch.setattr(N, "CELL_BYTES", 16 * 8 * 25)
+    monkeypatch.setattr(N, "GROUP", 7)
+    monkeypatch.setattr(N, "GRID", 100)
+    got = by_query(N.nearest_neighbours(df, df.where("vec_id % 20 = 0")).collect())
+    wanted = brute(np.arange(2000), rows, range(0, 2000, 20))
+    assert set(got) == set(whole) == set(wanted)
+    for found in (whole, got):
+        hit = sum(len({a for a, _ in found[q]} & {a for a, _ in wanted[q]}) for q in wanted)
+        assert hit >= 0.95 * sum(map(len, wanted.values()))
+        assert all(len(x) == 5 for x in found.values())
