@@ -217,15 +217,17 @@ SELECT *, NOT base_failed AND 100 * n_boilerplate_words <= 50 * n_words AS kept
 
 @query
 def op9_licenses(spark, folder):
-    """Confirmed licence families of every document, and how many passages were predicted without being confirmed."""
+    """Confirmed licence families of every document, how many predictions were not confirmed, and how many notices are of no known family."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = licenses.scan(docs, licenses.train(docs)).drop("text")
     sure = F.filter("licenses", lambda x: x["match"] >= licenses.CONFIRM)
+    other = F.size(F.filter("licenses", lambda x: x["family"] == licenses.UNKNOWN))
     return found.select(
         "doc_id",
         F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"),
         F.size(sure).cast("long").alias("n_confirmed"),
-        (F.size("licenses") - F.size(sure)).cast("long").alias("n_unconfirmed"),
+        (F.size("licenses") - F.size(sure) - other).cast("long").alias("n_unconfirmed"),
+        other.cast("long").alias("n_unknown"),
         F.array_max(F.transform(sure, lambda x: x["probability"])).alias("probability"),
     )
 
