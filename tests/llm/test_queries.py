@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_registered_names():
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == list(range(1, 14))
 
 
 # --- 8 --------------------------------------------------------------------------------------------
