@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsift.llm.base import map_columns, utf8
+from callsift.llm.base import map_columns, rows_of, slices, utf8
 
 UNKNOWN = "und"
 TRIPLES, PAIRS = 8192, 4096
@@ -87,7 +87,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
 
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            for value, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+            for value, name in rows_of({x: batch.column(x) for x in ("text", "lang")}, ("text", "lang")):
                 found = features(value)
                 total[name] = total[name] + found if name in total else found
         for name, found in total.items():
@@ -134,8 +134,9 @@ def predict(df: DataFrame, model: Model, text: str = "text", least: float = LEAS
 
     def make():
         def work(columns):
-            found = list(zip(*map(one, columns[text].to_pylist())))
-            return {f.name: columns[f.name] for f in rest} | dict(zip(made.names, map(list, found)))
+            for some in slices(columns):
+                found = zip(*map(one, some[text].to_pylist()))
+                yield {f.name: some[f.name] for f in rest} | dict(zip(made.names, map(list, found)))
 
         return work
 

@@ -7,7 +7,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callsift.llm.base import map_columns, portions
+from callsift.llm.base import map_columns, portions, rows_of, slices
 from callsift.llm.bpe import CHUNK, vocabulary
 from callsift.llm.piece_codec import piece_codec
 from callsift.session import settle
@@ -31,16 +31,17 @@ def encoded(df: DataFrame, key: str, text: str, path: str, end: int) -> DataFram
 
         def work(columns):
             nonlocal total
-            texts = columns["text"].to_pylist()
-            for a, b in portions(texts, CHUNK):
-                ids = [x + last for x in tool.encode_all(texts[a:b])]
-                sizes = np.array([len(x) for x in ids], np.int64) // tool.width
-                before = total + np.cumsum(sizes) - sizes
-                total += int(sizes.sum())
-                yield {
-                    "key": columns["key"].slice(a, b - a), "part": [part] * (b - a), "before": before, "n": sizes,
-                    "width": [tool.width] * (b - a), "ids": ids,
-                }
+            for some in slices(columns):
+                texts = some["text"].to_pylist()
+                for a, b in portions(texts, CHUNK):
+                    ids = [x + last for x in tool.encode_all(texts[a:b])]
+                    sizes = np.array([len(x) for x in ids], np.int64) // tool.width
+                    before = total + np.cumsum(sizes) - sizes
+                    total += int(sizes.sum())
+                    yield {
+                        "key": some["key"].slice(a, b - a), "part": [part] * (b - a), "before": before, "n": sizes,
+                        "width": [tool.width] * (b - a), "ids": ids,
+                    }
 
         return work
 
@@ -76,7 +77,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = L
         def work(columns):
             out = {x: [] for x in ("key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
             size = 0
-            for name, at, n, width, ids in zip(*(columns[x].to_pylist() for x in ("key", "place", "n", "width", "ids"))):
+            for name, at, n, width, ids in rows_of(columns, ("key", "place", "n", "width", "ids")):
                 wide = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
                 start = 0
                 while start < n:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 import numpy as np
 from tokenizers import Tokenizer
 
+from callsift.llm.base import kept
 from callsift.llm.bpe import LETTER, MEMORY, NUMBER, SPACE, Codec, byte_letters, character_classes
 
 #: The pre-tokenisers that are cut here; files with another one are encoded by the library alone.
@@ -27,16 +28,34 @@ SIMPLE = re.compile("[^\x00-˿]")
 
 
 class Memory:
-    """Ids of pieces in one array; a piece is known by its place in it. Names are whole numbers (short pieces) or strings."""
+    """Ids of pieces in one array; a piece is known by its place in it.
+
+    Names are whole numbers (short pieces), kept as a sorted array, or strings.
+    """
 
     def __init__(self, kind: type):
-        self.places: dict[int | str, int] = {}
+        self.places: dict[str, int] = {}
+        self.numbers = np.zeros(0, np.uint64)
+        self.places_of_numbers = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, kind)
         self.first = np.zeros(1 << 12, np.int64)  # of each place, and the first behind the last
         self.filled = 0
 
-    def add(self, names: list, new: list[int], sizes: list[int]) -> None:
-        at, used = len(self.places), self.filled + len(new)
+    def __len__(self) -> int:
+        return len(self.places) + len(self.numbers)
+
+    def find(self, names: np.ndarray | list[str]) -> np.ndarray:
+        """The place of each name, -1 where it is not known."""
+        if isinstance(names, list):
+            return np.array([self.places.get(x, -1) for x in names], np.int64)
+        if not len(self.numbers):
+            return np.full(len(names), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.numbers, names), len(self.numbers) - 1)
+        return np.where(self.numbers[at] == names, self.places_of_numbers[at], -1).astype(np.int64)
+
+    def add(self, names: np.ndarray | list[str], new: list[int], sizes: list[int]) -> None:
+        """Names that are not known yet, different and (numbers) in ascending order, with their ids in a row."""
+        at, used = len(self), self.filled + len(new)
         while used > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while at + len(names) >= len(self.first):
@@ -44,7 +63,12 @@ class Memory:
         self.ids[self.filled : used] = new
         self.first[at + 1 : at + 1 + len(names)] = self.filled + np.cumsum(sizes)
         self.filled = used
-        self.places.update(zip(names, range(at, at + len(names))))
+        if isinstance(names, list):
+            self.places.update(zip(names, range(at, at + len(names))))
+        else:
+            where = np.searchsorted(self.numbers, names)
+            self.numbers = np.insert(self.numbers, where, names)
+            self.places_of_numbers = np.insert(self.places_of_numbers, where, np.arange(at, at + len(names), dtype=np.int32))
 
     def of(self, place: int) -> list[int]:
         return self.ids[self.first[place] : self.first[place + 1]].tolist()
@@ -86,25 +110,25 @@ class PieceCodec(Codec):
         name = piece.encode("utf-8").decode("latin-1").translate(self.letters)
         return [token.id for token in self.model.tokenize(name)]
 
-    def places(self, names: list, piece: Callable[[int], str]) -> np.ndarray:
+    def places(self, names: np.ndarray | list[str], piece: Callable[[int], str]) -> np.ndarray:
         """The places of the named pieces; `piece` gives the string of the i-th, which is asked for only if it is new."""
         memory, older = self.memory, self.older
-        found = list(map(memory.places.get, names))
-        new = [i for i, place in enumerate(found) if place is None]
-        if new:
+        found = memory.find(names)
+        new = np.flatnonzero(found < 0)
+        if len(new):
             ids, sizes, before = [], [], 0
-            for place, i in enumerate(new, len(memory.places)):
-                found[i] = place
-                old = older.places.get(names[i])  # what is still in use comes back from the older half
-                ids += self.ids_of(piece(i)) if old is None else older.of(old)
+            found[new] = np.arange(len(memory), len(memory) + len(new))
+            unknown = [names[i] for i in new.tolist()] if isinstance(names, list) else names[new]
+            for i, old in zip(new.tolist(), older.find(unknown).tolist()):
+                ids += self.ids_of(piece(i)) if old < 0 else older.of(old)  # what is still in use comes back from the older half
                 sizes.append(len(ids) - before)
                 before = len(ids)
-            memory.add([names[i] for i in new], ids, sizes)
-        return np.array(found, np.int64)
+            memory.add(unknown, ids, sizes)
+        return found
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         joined, at, before = self.cut(texts)
-        if len(self.memory.places) > MEMORY:
+        if len(self.memory) > MEMORY:
             self.older, self.memory = self.memory, Memory(self.kind)
         code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.append(at[1:], len(code))
@@ -117,7 +141,7 @@ class PieceCodec(Codec):
             name |= np.where(size > i, padded[where + i], 0).astype(np.uint64) << np.uint64(8 * i)
         names, first, which = np.unique(name, return_index=True, return_inverse=True)
         places = np.empty(len(at), np.int64)
-        places[short] = self.places(names.tolist(), lambda i: joined[where[first[i]] : where[first[i]] + size[first[i]]])[which]
+        places[short] = self.places(names, lambda i: joined[where[first[i]] : where[first[i]] + size[first[i]]])[which]
         if len(where) < len(at):
             rest = [joined[a:b] for a, b in zip(at[~short].tolist(), ends[~short].tolist())]
             some = list(dict.fromkeys(rest))
@@ -193,12 +217,12 @@ def kind_of(path: str) -> type[PieceCodec]:
     return WordCodec if (data["normalizer"], data["pre_tokenizer"]) == (LOWER, WORDS) else WholeCodec
 
 
-_CODECS: dict[tuple, PieceCodec] = {}
-
-
 def piece_codec(path: str, beside: int = 0) -> PieceCodec:
-    """One codec for each file and worker process; `beside` is the largest id that is written among its own."""
-    if (path, beside) not in _CODECS:
-        _CODECS[path, beside] = kind_of(path)(path, beside)
+    """One codec for each file, worker process and stage; `beside` is the largest id that is written among its own."""
+
+    def make() -> PieceCodec:
+        made = kind_of(path)(path, beside)
         gc.freeze()  # the tables stay; the collector need not look through them again and again
-    return _CODECS[path, beside]
+        return made
+
+    return kept((path, beside), make)

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsift.llm.base import map_columns, utf8
+from callsift.llm.base import map_columns, rows_of, utf8
 from callsift.llm.components import connected_components
 from callsift.session import settle
 
@@ -125,7 +125,7 @@ def simhash_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     def make():
         return lambda columns: {
             "key": columns["key"],
-            "fp": [signed(fingerprint(x, shingle)) for x in columns["text"].to_pylist()],
+            "fp": [signed(fingerprint(x, shingle)) for (x,) in rows_of(columns, ("text",))],
         }
 
     kind = df.schema[key].dataType.simpleString()

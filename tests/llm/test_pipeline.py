@@ -1,14 +1,19 @@
 """Each stage of the pipeline against a plain version on its own input, then run() as their chain."""
 
+import gc
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as P
+from callsift.llm import base, language_id, quality_rules
 from callsift.llm.bpe import codec, vocabulary
+from callsift.llm.packing import pack
+from callsift.llm.piece_codec import PieceCodec
 from callsift.llm.simhash import fingerprint
 from tests.llm.test_repeats import brute
 
@@ -120,3 +125,34 @@ def test_odd_rows(spark):
         stage(spark, df, FOLDER).count()
     assert sum(r["length"] for r in P.STAGES[-1][1](spark, df, FOLDER).collect()) > len(rows)
     assert sorted(r["doc_id"] for r in P.simhash(spark, df, FOLDER).where("doc_id >= 3").collect()) == [3, 9, 10, 11, 20]
+
+
+def test_a_worker_holds_little(spark, monkeypatch):
+    """Stages make their rows a few at a time, and a worker drops the token tables when another step begins."""
+    docs = spark.createDataFrame([(i, f"Line {i} of a text", "en", "web", 10) for i in range(1200)], SCHEMA).repartition(8)
+    made, real = [], base.map_columns
+
+    def watched(df, make, schema):
+        made.append((make, df.columns))
+        return real(df, make, schema)
+
+    monkeypatch.setattr(quality_rules, "map_columns", watched)
+    monkeypatch.setattr(language_id, "map_columns", watched)
+    quality_rules.apply_quality_rules(docs)
+    language_id.predict(docs, language_id.Model([], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0)))
+    assert len(made) == 3
+    values = {"text": pa.array(["a line"] * 1200), "c1": pa.array(["a line"] * 1200), "host": pa.array(["web"] * 1200), "lines": pa.nulls(1200, pa.list_(pa.int64()))}
+    for make, names in made:
+        parts = list(make()({x: values.get(x, pa.array(range(1200))) for x in names}))
+        assert len(parts) > 1 and max(len(next(iter(p.values()))) for p in parts) <= 500
+        assert sum(len(next(iter(p.values()))) for p in parts) == 1200
+
+    def tables():
+        def work(columns):
+            gc.unfreeze()
+            return {"n": [sum(isinstance(x, PieceCodec) for x in gc.get_objects())]}
+
+        return work
+
+    assert pack(docs).count() >= 1200
+    assert base.map_columns(docs.select("doc_id"), tables, "n int").agg({"n": "max"}).first()[0] == 0
