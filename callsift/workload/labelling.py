@@ -9,6 +9,7 @@ from callsift import fixed_values as V
 from callsift.functions import answers as an
 from callsift.operators import ids, labels, metrics, scoring, similarity, splits
 from callsift.plans.pairs import prepare_pairs
+from callsift.session import settle
 from callsift.workload import frames as fr
 
 
@@ -199,7 +200,8 @@ def answer_similarity(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_similarity(spark: SparkSession, folder: str) -> DataFrame:
     """Every text and its successor, whole."""
-    docs = fr.table(spark, folder, "documents").select("doc_id", "text")
+    docs = fr.table(spark, folder, "documents").select("doc_id", similarity.term_slots(F.col("text")).alias("text"))
+    docs = settle(docs, "slots")  # each text is hashed once; the slots are joined
     after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next"))
     rows = similarity.text_similarity(docs.join(after, "doc_id"), "text", "next")
     return rows.select("doc_id", F.round("similarity", 6).alias("similarity"))

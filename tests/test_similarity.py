@@ -6,8 +6,10 @@ from collections import Counter
 from hashlib import md5
 
 import pytest
+from pyspark.sql import functions as F
 
-from callsift.operators.similarity import SLOTS, mean_similarity, slot_weights, text_similarity
+from callsift.operators.similarity import SLOTS, mean_similarity, slot_weights, term_slots, text_similarity
+from callsift.workload import labelling
 
 
 def plain(pairs, slots=SLOTS):
@@ -63,3 +65,12 @@ def test_rows_are_not_shuffled(spark):
     assert len(weights) == SLOTS and weights.min() > 0
     plan = text_similarity(df, "l", "r")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_a_text_of_several_rows_is_hashed_once(spark):
+    """Columns of slots give what the texts give, and the query joins slots: no text is cut into terms again behind a join."""
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(PAIRS)], "i int, l string, r string")
+    slots = df.select("i", term_slots(F.col("l")).alias("l"), term_slots(F.col("r")).alias("r"))
+    assert dict(text_similarity(slots, "l", "r").select("i", "similarity").collect()) == dict(text_similarity(df, "l", "r").select("i", "similarity").collect())
+    plan = labelling.text_similarity(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "regexp" not in plan
